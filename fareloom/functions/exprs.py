@@ -86,18 +86,22 @@ def title_case(text: Column) -> Column:
     )
 
 
-def bin_code(value: Column, edges: Sequence[float]) -> Column:
-    """Index of the right-closed interval (edges[i], edges[i+1]]; null outside all of them."""
+def _by_interval(value: Column, edges: Sequence[float], results: Sequence[int | str]) -> Column:
     steps = None
-    for code, (low, high) in enumerate(zip(edges, edges[1:])):
+    for low, high, result in zip(edges, edges[1:], results):
         inside = (value > F.lit(low)) & (value <= F.lit(high))
-        steps = F.when(inside, F.lit(code)) if steps is None else steps.when(inside, F.lit(code))
+        steps = F.when(inside, F.lit(result)) if steps is None else steps.when(inside, F.lit(result))
     return steps
 
 
+def bin_code(value: Column, edges: Sequence[float]) -> Column:
+    """Index of the right-closed interval (edges[i], edges[i+1]]; null outside all of them."""
+    return _by_interval(value, edges, range(len(edges) - 1))
+
+
 def bin_label(value: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
     """As `bin_code`, with a name per interval."""
-    return F.element_at(F.array(*[F.lit(name) for name in labels]), bin_code(value, edges) + 1)
+    return _by_interval(value, edges, labels)
 
 
 def mapped(value: Column, mapping: Mapping[str, int | str]) -> Column:
@@ -148,7 +152,7 @@ def score_tier(score: Column) -> Column:
 
 
 def weekday_name(when: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.weekday(when) + 1)
+    return F.get(F.array(*[F.lit(d) for d in WEEKDAYS]), F.weekday(when))
 
 
 def hour_label(hour: Column) -> Column:

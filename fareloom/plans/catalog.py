@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.plans import analytics, overview, risk, strategy
+from fareloom.plans import analytics, dashboard, feature_queries, overview, risk, strategy
 from fareloom.sources.ride_views import RideTables, ride_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,7 +66,55 @@ REPORTS: dict[str, Callable[[RideTables], DataFrame]] = {
     "q4k_customer_segments": lambda t: strategy.customer_segments(t.customers),
 }
 
-BUILDERS: dict[str, Callable[[RideTables], DataFrame]] = {**REPORTS}
+
+def _overview_rides(t: RideTables) -> DataFrame:
+    return dashboard.overview_rides(t.bookings, t.drivers)
+
+
+def _segments(t: RideTables) -> DataFrame:
+    return risk.risk_by_city_vehicle(t.predictions)
+
+
+def _demand(t: RideTables) -> DataFrame:
+    return strategy.driver_demand(t.bookings, t.predictions)
+
+
+DASHBOARD: dict[str, Callable[[RideTables], DataFrame]] = {
+    "j8_overview_rides": _overview_rides,
+    "w1_cancel_heatmap_grid": lambda t: dashboard.cancel_heatmap_grid(analytics.cancel_heatmap(t.bookings)),
+    "w2_surge_grid": lambda t: dashboard.surge_grid(analytics.surge_by_hour_city(t.bookings)),
+    "w3_cancel_rates_by_hour": lambda t: dashboard.cancel_rates_by_hour(analytics.cancel_probability_by_hour(t.predictions)),
+    "w4_top_reasons": lambda t: dashboard.top_reasons(analytics.cancel_reasons(t.bookings)),
+    "w5_weekend_table": lambda t: dashboard.weekend_table(analytics.weekend_comparison(t.bookings)),
+    "w6_tier_grid": lambda t: dashboard.tier_grid(risk.risk_by_city(t.predictions)),
+    "w7_confusion_grid": lambda t: dashboard.confusion_grid(risk.cancel_confusion(t.predictions)),
+    "w8_filtered_rides": lambda t: dashboard.filter_overview(_overview_rides(t), city="ASIA", vehicle_type="Cab", hours=(6, 20)),
+    "w9_kpi_cards": lambda t: dashboard.kpi_cards(_overview_rides(t)),
+    "w10a_cancel_rate_by_city": lambda t: dashboard.cancel_rate_by_city(_overview_rides(t)),
+    "w10b_status_by_hour": lambda t: dashboard.status_by_hour(_overview_rides(t)),
+    "w10c_surge_by_city_vehicle": lambda t: dashboard.surge_by_city_vehicle(_overview_rides(t)),
+    "w11_requests_by_city_hour": lambda t: dashboard.requests_by_city_hour(t.location_demand),
+    "w12_fare_by_vehicle": lambda t: dashboard.fare_by_vehicle(t.bookings),
+    "w13_alert_counts": lambda t: dashboard.alert_counts(strategy.ops_alerts(t.predictions)),
+    "w14_demand_status_grid": lambda t: dashboard.demand_status_grid(_demand(t)),
+    "w15_risk_grid": lambda t: dashboard.risk_grid(_segments(t)),
+    "w16_risk_volume": lambda t: dashboard.risk_volume(_segments(t)),
+    "w17_worst_segments": lambda t: dashboard.worst_segments(_segments(t)),
+    "w18_reassignment_kpis": lambda t: dashboard.reassignment_kpis(strategy.reassignment_candidates(t.predictions, t.drivers)),
+    "w19_tier_distribution": lambda t: dashboard.tier_distribution(strategy.driver_efficiency(t.bookings)),
+    "w20_revenue_loss": lambda t: dashboard.revenue_loss(strategy.revenue_impact(t.bookings)),
+    "w21_few_matches": lambda t: dashboard.few_matches(risk.live_inference(t.predictions, **LIVE_EXAMPLE)),
+    "w22_busiest_cities": lambda t: dashboard.busiest_cities(overview.city_heatmap(t.bookings)),
+    "w22b_city_demand_table": lambda t: dashboard.city_demand_table(overview.city_heatmap(t.bookings)),
+    "w23a_city_rate_bands": lambda t: dashboard.city_rate_bands(overview.city_heatmap(t.bookings)),
+    "w23b_probability_bands": lambda t: dashboard.probability_bands(risk.cancel_probability_histogram(t.predictions)),
+    "w23c_distance_bands": lambda t: dashboard.distance_bands(analytics.cancel_probability_by_distance(t.predictions)),
+    "w23d_mape_bands": lambda t: dashboard.mape_bands(risk.fare_accuracy_by_city(t.predictions)),
+    "w24_score_histogram": lambda t: dashboard.score_histogram(strategy.driver_performance(t.drivers)),
+    "w25_alert_table": lambda t: dashboard.alert_table(strategy.ops_alerts(t.predictions)),
+}
+
+BUILDERS: dict[str, Callable[[RideTables], DataFrame]] = {**REPORTS, **DASHBOARD, **feature_queries.ENTRIES}
 
 
 def queries() -> dict[str, Query]:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracles import reports
+from oracles import dashboard, features, reports
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**reports.STATEMENTS}
+    return {**reports.STATEMENTS, **dashboard.STATEMENTS, **features.STATEMENTS}
