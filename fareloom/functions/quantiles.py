@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fareloom.functions.small import gather_small
+from fareloom.sources.tables import settled
 
 # Below this many rows per group the bracket is simply the whole range.
 BRACKET_FROM_ROWS = 100_000
@@ -102,10 +103,12 @@ def running_totals(df: DataFrame, order_by: str, totals: Mapping[str, Column], d
     how the values are spread; a value that holds most of the rows is still one row.
     """
     names = list(totals)
-    per_value = (
+    # Stored, because the cut points, the slice totals and the slices all start from it.
+    per_value = settled(
         df.filter(F.col(order_by).isNotNull())
         .groupBy(F.col(order_by).cast("double").alias(order_by))
-        .agg(*[expr.alias(name) for name, expr in totals.items()])
+        .agg(*[expr.alias(name) for name, expr in totals.items()]),
+        "per_value",
     )
     marks = per_value.agg(
         F.percentile_approx(order_by, [i / slices for i in range(1, slices)], 10 * slices).alias("m")

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareloom.plans import analytics, dashboard, feature_queries, overview, risk, strategy
-from fareloom.sources.ride_views import RideTables, ride_tables
+from fareloom.plans import (
+    analytics, dashboard, feature_queries, model_queries, overview, quality_queries, risk, strategy, table_queries,
+)
+from fareloom.sources.ride_views import RideTables, ride_tables, stored_ride_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,10 @@ def _over(build: Callable[[RideTables], DataFrame]) -> Query:
     return lambda spark, folder: build(ride_tables(spark, folder))
 
 
+def _over_stored(build: Callable[[RideTables], DataFrame]) -> Query:
+    return lambda spark, folder: build(stored_ride_tables(spark, folder))
+
+
 REPORTS: dict[str, Callable[[RideTables], DataFrame]] = {
     "q0a_cities": lambda t: overview.cities(t.bookings),
     "q0b_vehicle_types": lambda t: overview.vehicle_types(t.bookings),
@@ -114,8 +120,13 @@ DASHBOARD: dict[str, Callable[[RideTables], DataFrame]] = {
     "w25_alert_table": lambda t: dashboard.alert_table(strategy.ops_alerts(t.predictions)),
 }
 
-BUILDERS: dict[str, Callable[[RideTables], DataFrame]] = {**REPORTS, **DASHBOARD, **feature_queries.ENTRIES}
+# Reports run straight from the source tables; feature work runs from tables stored once per application.
+LAZY = {**REPORTS, **DASHBOARD, **quality_queries.ENTRIES, **table_queries.ENTRIES}
+STORED = {**feature_queries.ENTRIES, **model_queries.ENTRIES}
 
 
 def queries() -> dict[str, Query]:
-    return {name: _over(build) for name, build in BUILDERS.items()}
+    return {
+        **{name: _over(build) for name, build in LAZY.items()},
+        **{name: _over_stored(build) for name, build in STORED.items()},
+    }

@@ -6,12 +6,15 @@ The joins carry no hints: Spark broadcasts a side only when its measured size is
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.functions.exprs import recommended_action, risk_tier, weekday_name
+from fareloom.sources.tables import settled
 
 
 def _count(condition) -> F.Column:
@@ -273,5 +276,55 @@ class RideTables:
         )
 
 
+class StoredRideTables(RideTables):
+    """The same tables, each written once to the scratch folder and then read from there.
+
+    For work that reads them many times (the wide table reads bookings five times, training far more often).
+    Stored sides also have a known size, so Spark can broadcast the small ones.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__(spark, folder)
+        self._kept: dict[str, Any] = {}
+
+    def kept(self, name: str, build: Callable[[], Any]) -> Any:
+        """The result of `build`, made once; a DataFrame is stored in the scratch folder."""
+        if name not in self._kept:
+            made = build()
+            self._kept[name] = settled(made, name) if isinstance(made, DataFrame) else made
+        return self._kept[name]
+
+    @cached_property
+    def bookings(self) -> DataFrame:
+        return settled(RideTables.bookings.func(self), "bookings")
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return settled(RideTables.customers.func(self), "customers")
+
+    @cached_property
+    def drivers(self) -> DataFrame:
+        return settled(RideTables.drivers.func(self), "drivers")
+
+    @cached_property
+    def location_demand(self) -> DataFrame:
+        return settled(RideTables.location_demand.func(self), "location_demand")
+
+    @cached_property
+    def time_features(self) -> DataFrame:
+        return settled(RideTables.time_features.func(self), "time_features")
+
+
+_stored: dict[tuple[str, str], StoredRideTables] = {}
+
+
 def ride_tables(spark: SparkSession, folder: str) -> RideTables:
     return RideTables(spark, folder)
+
+
+def stored_ride_tables(spark: SparkSession, folder: str) -> StoredRideTables:
+    """Stored tables of a folder, written at most once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _stored:
+        _stored[key] = StoredRideTables(spark, folder)
+    return _stored[key]

@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {
+    "BIGINT": T.LongType(), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(), "STRING": T.StringType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """A schema from 'name TYPE, ...' that needs no running session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 BOOKINGS = _schema("""

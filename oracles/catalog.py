@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from oracles import dashboard, features, reports
+from oracles import dashboard, features, quality, reports
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**reports.STATEMENTS, **dashboard.STATEMENTS, **features.STATEMENTS}
+    return {**reports.STATEMENTS, **dashboard.STATEMENTS, **features.STATEMENTS,
+            **quality.STATEMENTS}
