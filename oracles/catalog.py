@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from oracles import dashboard, features, quality, reports
+from oracles import dashboard, features, models, quality, reports
 
 
 def oracle_sql() -> dict[str, str]:
     return {**reports.STATEMENTS, **dashboard.STATEMENTS, **features.STATEMENTS,
-            **quality.STATEMENTS}
+            **quality.STATEMENTS, **models.STATEMENTS}
