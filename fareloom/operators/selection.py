@@ -72,12 +72,18 @@ def redundant_features(features: Sequence[str], matrix: Sequence[Sequence[float]
 
 def correlation_filter(train: DataFrame, features: Sequence[str], target: str, min_target: float = 0.01,
                        max_mutual: float = 0.95) -> tuple[list[str], dict]:
-    """Kept features and a report. A constant feature has no correlation and is kept."""
-    found = {r["feature"]: r["correlation"] for r in target_correlations(train, features, target).collect()}
-    strength = {f: None if c is None else abs(c) for f, c in found.items()}
+    """Kept features and a report. A constant feature has no correlation and is kept.
+
+    `train` has no missing values here, so one matrix over the features and the target serves both stages.
+    """
+    matrix = correlation_matrix(train, [*features, target])
+    place = {f: i for i, f in enumerate(features)}
+    with_target = {f: abs(matrix[i][-1]) for f, i in place.items()}
+    strength = {f: None if math.isnan(c) else c for f, c in with_target.items()}
     weak = [f for f in features if strength[f] is not None and strength[f] < min_target]
     left = [f for f in features if f not in set(weak)]
-    redundant = redundant_features(left, correlation_matrix(train, left), strength, max_mutual) if len(left) > 1 else set()
+    mutual = [[matrix[place[a]][place[b]] for b in left] for a in left]
+    redundant = redundant_features(left, mutual, strength, max_mutual)
     kept = [f for f in left if f not in redundant]
     ranking = sorted(((f, strength[f]) for f in kept), key=lambda p: (p[1] is None, -(p[1] or 0.0), p[0]))
     return kept, {"low_target_correlation": weak, "redundant": sorted(redundant), "ranking": ranking}

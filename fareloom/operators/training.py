@@ -88,10 +88,11 @@ def _neighbour_pairs(rows: DataFrame, key: str, features: Sequence[str], neighbo
         sliced = Bucketizer(splits=[float("-inf"), *(cuts or [0.0]), float("inf")], inputCol="along",
                             outputCol="slice").transform(line)
         order = Window.partitionBy("slice").orderBy("along", key)
-        near = [F.struct(f(F.col(key), k).over(order).alias("other"), f(F.col("x"), k).over(order).alias("y"))
-                for f in (F.lag, F.lead) for k in range(1, neighbours + 1)]
-        pairs = sliced.select(key, "x", F.explode(F.array(*near)).alias("n")).filter(
-            F.col("n.other").isNotNull()).select(key, "x", "n.other", "n.y")
+        looks = [(f, k) for f in (F.lag, F.lead) for k in range(1, neighbours + 1)]
+        row = F.struct(F.col(key).alias("other"), F.col("x").alias("y"))
+        seen = sliced.select(key, "x", *[f(row, k).over(order).alias(f"n{i}") for i, (f, k) in enumerate(looks)])
+        pairs = seen.select(key, "x", F.explode(F.array(*[f"n{i}" for i in range(len(looks))])).alias("n")).filter(
+            F.col("n").isNotNull()).select(key, "x", "n.other", "n.y")
         found = pairs if found is None else found.unionByName(pairs)
     gap = F.aggregate(F.zip_with("x", "y", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
     best = Window.partitionBy(key).orderBy("gap", "other")
@@ -141,6 +142,25 @@ def oversample(df: DataFrame, key: str, features: Sequence[str], label: str, min
         made.select(F.col(key).cast(kinds[key]), *[F.col(f"`{c}`").cast("double").alias(c) for c in features], label))
 
 
+def equalise(df: DataFrame, key: str, features: Sequence[str], label: str, seed: int = SEED) -> DataFrame:
+    """Oversample every class up to the size of the largest."""
+    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    largest = max(sizes.values())
+    for value in sorted(sizes):
+        if sizes[value] < largest:
+            df = oversample(df, key, features, label, value, largest, seed=seed)
+    return df
+
+
+def train_equalised(train: DataFrame, test: DataFrame, features: Sequence[str], target: str, classes: int,
+                    estimator: Estimator, key: str = "booking_id") -> Trained:
+    """One estimator refitted on rows in which all classes are equally frequent."""
+    name = "Equalised"
+    rows = equalise(_labelled(train, target).select(key, "label", *features), key, features, "label")
+    model = fit(estimator, with_class_weights(rows, "label"), features)
+    return Trained({name: model}, {name: classification_scores(model, _labelled(test, target), classes)}, name)
+
+
 # Candidates --------------------------------------------------------------------------------------------------------
 
 def classifiers(classes: int = 2, sizes: Mapping[str, float] = CLASSIFIER_SIZES, seed: int = SEED) -> dict[str, Estimator]:

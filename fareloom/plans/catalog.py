@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fareloom.plans import (
-    analytics, dashboard, feature_queries, model_queries, overview, quality_queries, risk, strategy, table_queries,
+    analytics, dashboard, feature_queries, model_queries, overview, quality_queries, risk, strategy, stream_queries, table_queries,
 )
 from fareloom.sources.ride_views import RideTables, ride_tables, stored_ride_tables
 
@@ -122,7 +122,7 @@ DASHBOARD: dict[str, Callable[[RideTables], DataFrame]] = {
 
 # Reports run straight from the source tables; feature work runs from tables stored once per application.
 LAZY = {**REPORTS, **DASHBOARD, **quality_queries.ENTRIES, **table_queries.ENTRIES}
-STORED = {**feature_queries.ENTRIES, **model_queries.ENTRIES}
+STORED = {**feature_queries.ENTRIES, **model_queries.ENTRIES, **stream_queries.ENTRIES}
 
 
 def queries() -> dict[str, Query]:

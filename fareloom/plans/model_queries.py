@@ -264,14 +264,19 @@ def _weights(t: StoredRideTables) -> DataFrame:
 
 
 def _oversampled(t: StoredRideTables) -> DataFrame:
-    s = one_split(t, "UC1")
-    label = s.target
-    cancelled = s.train.filter(F.col(label) == 1).count()
-    made = training.oversample(s.train, "booking_id", s.features, label, 2, int(cancelled * training.OVERSAMPLE_SHARE))
-    return made.groupBy(label).agg(
+    """Cancelled rides brought up to the number of the others."""
+    s = one_split(t, "UC3")
+    made = training.equalise(s.train, "booking_id", s.features, s.target)
+    return made.groupBy(s.target).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("booking_id") < 0).alias("made"))
 
 
+def _equalised(t: StoredRideTables) -> DataFrame:
+    s = one_split(t, "UC1")
+    return _metric_rows(t, ("UC1", training.train_equalised(
+        s.train, s.test, s.features, s.target, 3, _quick_classifiers(3)["Random Forest"])))
+
+
 def tuned_settings(t: StoredRideTables) -> tuple[dict, list[dict]]:
     s = one_split(t, "UC3")
     subset = splitting.tuning_subset(s.train, "booking_id", s.target)
@@ -406,6 +411,7 @@ ENTRIES: dict[str, Build] = {
     "p8_predict_delay": lambda t: scoring.predict(_prepared(t, "UC4"), delay_models(t).model, "UC4"),
     "m3_balanced_weights": _weights,
     "m4_oversampled": _oversampled,
+    "m4_train_equalised": _equalised,
     "m1_m5_train_outcome": lambda t: _metric_rows(t, ("UC1", outcome_models(t))),
     "m2_m6_train_fare": _fare_metrics,
     "m7_train_cancel": lambda t: _metric_rows(t, ("UC3", cancel_models(t))),

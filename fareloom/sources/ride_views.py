@@ -230,11 +230,11 @@ class RideTables:
             )
         )
 
-    def predictions_from(self, bookings: DataFrame) -> DataFrame:
+    def predictions_from(self, bookings: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         """Rule-scored predictions; the rule stands in for a model so that results can be checked exactly."""
         score = ((F.col("booking_id") * 37 + F.col("customer_id")) % 100).cast("double") / 100
         return bookings.select(
-            "booking_id", "city", "vehicle_type", "hour_of_day", "traffic_level", "weather_condition",
+            *keep, "booking_id", "city", "vehicle_type", "hour_of_day", "traffic_level", "weather_condition",
             "ride_distance_km", "surge_multiplier",
             score.alias("cancel_probability"),
             risk_tier(score).alias("cancel_risk_tier"),
