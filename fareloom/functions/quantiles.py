@@ -37,19 +37,18 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     ])).alias("v")).select(*by, "v.feature", "v.x").filter(F.col("x").isNotNull())
     keys = [*by, "feature"]
 
-    lower = [max(p - BRACKET_MARGIN, 0.0) for p in probs]
-    upper = [min(p + BRACKET_MARGIN, 1.0) for p in probs]
+    marks = [max(p - BRACKET_MARGIN, 0.0) for p in probs] + [min(p + BRACKET_MARGIN, 1.0) for p in probs]
 
-    def edge(sketch: str, whole: str, i: int) -> Column:
-        return F.when(F.col("n") <= bracket_from_rows, F.col(whole)).otherwise(F.col(sketch)[i])
+    def edge(whole: str, i: int) -> Column:
+        return F.when(F.col("n") <= bracket_from_rows, F.col(whole)).otherwise(F.col("marks")[i])
 
     ranks = []
     for i, p in enumerate(probs):
         position = (F.col("n") - 1) * F.lit(float(p))
         ranks.append(F.struct(
             F.lit(i).alias("i"),
-            edge("lows", "least", i).alias("low"),
-            edge("highs", "most", i).alias("high"),
+            edge("least", i).alias("low"),
+            edge("most", len(probs) + i).alias("high"),
             F.floor(position).alias("at"),
             (position - F.floor(position)).alias("part"),
         ))
@@ -57,8 +56,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         long.groupBy(*keys)
         .agg(
             F.count("x").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"),
-            F.percentile_approx("x", lower, SKETCH_ACCURACY).alias("lows"),
-            F.percentile_approx("x", upper, SKETCH_ACCURACY).alias("highs"),
+            F.percentile_approx("x", marks, SKETCH_ACCURACY).alias("marks"),
         )
         .select(*keys, F.explode(F.array(*ranks)).alias("r"))
         .select(*keys, "r.*")

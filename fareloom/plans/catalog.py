@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fareloom.plans import (
     analytics, dashboard, feature_queries, model_queries, overview, quality_queries, risk, strategy, stream_queries, table_queries,
 )
-from fareloom.sources.ride_views import RideTables, ride_tables, stored_ride_tables
+from fareloom.sources.ride_views import StoredRideTables, stored_ride_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,15 +18,14 @@ LIVE_EXAMPLE = {"city": "ASIA", "vehicle_type": "Bike", "hour_of_day": 11, "traf
                 "weather_condition": "Rain", "distance_km": 25.0}
 
 
-def _over(build: Callable[[RideTables], DataFrame]) -> Query:
-    return lambda spark, folder: build(ride_tables(spark, folder))
+Build = Callable[[StoredRideTables], DataFrame]
 
 
-def _over_stored(build: Callable[[RideTables], DataFrame]) -> Query:
+def _over(build: Build) -> Query:
     return lambda spark, folder: build(stored_ride_tables(spark, folder))
 
 
-REPORTS: dict[str, Callable[[RideTables], DataFrame]] = {
+REPORTS: dict[str, Build] = {
     "q0a_cities": lambda t: overview.cities(t.bookings),
     "q0b_vehicle_types": lambda t: overview.vehicle_types(t.bookings),
     "q0c_date_range": lambda t: overview.date_range(t.bookings),
@@ -73,19 +72,19 @@ REPORTS: dict[str, Callable[[RideTables], DataFrame]] = {
 }
 
 
-def _overview_rides(t: RideTables) -> DataFrame:
+def _overview_rides(t: StoredRideTables) -> DataFrame:
     return dashboard.overview_rides(t.bookings, t.drivers)
 
 
-def _segments(t: RideTables) -> DataFrame:
+def _segments(t: StoredRideTables) -> DataFrame:
     return risk.risk_by_city_vehicle(t.predictions)
 
 
-def _demand(t: RideTables) -> DataFrame:
+def _demand(t: StoredRideTables) -> DataFrame:
     return strategy.driver_demand(t.bookings, t.predictions)
 
 
-DASHBOARD: dict[str, Callable[[RideTables], DataFrame]] = {
+DASHBOARD: dict[str, Build] = {
     "j8_overview_rides": _overview_rides,
     "w1_cancel_heatmap_grid": lambda t: dashboard.cancel_heatmap_grid(analytics.cancel_heatmap(t.bookings)),
     "w2_surge_grid": lambda t: dashboard.surge_grid(analytics.surge_by_hour_city(t.bookings)),
@@ -120,13 +119,12 @@ DASHBOARD: dict[str, Callable[[RideTables], DataFrame]] = {
     "w25_alert_table": lambda t: dashboard.alert_table(strategy.ops_alerts(t.predictions)),
 }
 
-# Reports run straight from the source tables; feature work runs from tables stored once per application.
-LAZY = {**REPORTS, **DASHBOARD, **quality_queries.ENTRIES, **table_queries.ENTRIES}
-STORED = {**feature_queries.ENTRIES, **model_queries.ENTRIES, **stream_queries.ENTRIES}
+# All queries read ride tables that are derived from the sources and stored once per application.
+BUILDERS: dict[str, Build] = {
+    **REPORTS, **DASHBOARD, **quality_queries.ENTRIES, **table_queries.ENTRIES, **feature_queries.ENTRIES,
+    **model_queries.ENTRIES, **stream_queries.ENTRIES,
+}
 
 
 def queries() -> dict[str, Query]:
-    return {
-        **{name: _over(build) for name, build in LAZY.items()},
-        **{name: _over_stored(build) for name, build in STORED.items()},
-    }
+    return {name: _over(build) for name, build in BUILDERS.items()}

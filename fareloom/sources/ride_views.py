@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.functions.exprs import recommended_action, risk_tier, weekday_name
+from fareloom.sources import schemas
 from fareloom.sources.tables import settled
 
 
@@ -29,7 +30,7 @@ class RideTables:
         self.folder = folder.rstrip("/")
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(schemas.SOURCES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def order_legs(self) -> DataFrame:
@@ -296,7 +297,7 @@ class StoredRideTables(RideTables):
 
     @cached_property
     def bookings(self) -> DataFrame:
-        return settled(RideTables.bookings.func(self), "bookings")
+        return settled(RideTables.bookings.func(self), "bookings", even=True)
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -323,8 +324,13 @@ def ride_tables(spark: SparkSession, folder: str) -> RideTables:
 
 
 def stored_ride_tables(spark: SparkSession, folder: str) -> StoredRideTables:
-    """Stored tables of a folder, written at most once per application."""
+    """Stored tables of a folder, written at most once per application (see `forget_stored`)."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _stored:
         _stored[key] = StoredRideTables(spark, folder)
     return _stored[key]
+
+
+def forget_stored(spark: SparkSession, folder: str) -> None:
+    """Have the tables of a folder derived anew at the next use, after its sources have changed."""
+    _stored.pop((spark.sparkContext.applicationId, folder), None)

@@ -61,6 +61,21 @@ PREDICTIONS = _schema("""
     recommended_action STRING, actual_completed_flag INT, actual_fare DOUBLE, actual_ride_time_min DOUBLE,
     actual_cancelled_flag INT""")
 
+# The supplied order tables that the ride views are derived from.
+SOURCES: dict[str, T.StructType] = {
+    "region": _schema("r_regionkey INT, r_name STRING"),
+    "nation": _schema("n_nationkey INT, n_name STRING, n_regionkey INT"),
+    "customer": _schema("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"),
+    "supplier": _schema("s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE"),
+    "orders": _schema("""
+        o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ,
+        o_orderpriority STRING"""),
+    "lineitem": _schema("""
+        l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
+        l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,
+        l_shipdate TIMESTAMP_NTZ"""),
+}
+
 TABLES: dict[str, T.StructType] = {
     "bookings": BOOKINGS,
     "customers": CUSTOMERS,

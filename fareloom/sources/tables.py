@@ -38,10 +38,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame, name: str = "settled") -> DataFrame:
-    """The frame written once as Parquet and read back: later jobs start from files, whatever executors are lost."""
+def settled(df: DataFrame, name: str = "settled", even: bool = False) -> DataFrame:
+    """The frame written once as Parquet and read back: later jobs start from files, whatever executors are lost.
+
+    With `even` the rows are rebalanced first. That is one more shuffle, for tables that many jobs scan: joins on
+    hot keys or few large inputs would otherwise leave files of very different size.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if even else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
