@@ -15,6 +15,12 @@ from fareloom.functions.quantiles import exact_quantiles
 # Fixed value: the relative tolerance that goes with each absolute one.
 RELATIVE_TOLERANCE = 1e-5
 
+# The categorical columns of bookings whose values are counted.
+BOOKING_CATEGORIES = (
+    "day_of_week", "city", "pickup_location", "drop_location", "vehicle_type", "traffic_level", "weather_condition",
+    "booking_status", "incomplete_ride_reason",
+)
+
 _NUMERIC = ("int", "bigint", "double", "float", "smallint", "tinyint")
 
 

@@ -10,7 +10,7 @@ from fareloom.functions.exprs import (
 )
 from fareloom.functions.measures import cancel_rate, mean, rides
 from fareloom.functions.quantiles import exact_quantiles
-from fareloom.functions.small import one_row
+from fareloom.functions.small import gather_small, one_row
 
 # Colour bands of the charts, highest first.
 CITY_RATE_BANDS = (("red", 30.0), ("amber", 20.0))
@@ -127,9 +127,9 @@ def cancel_heatmap_grid(cancel_heatmap: DataFrame) -> DataFrame:
 
 
 def surge_grid(surge_by_hour_city: DataFrame) -> DataFrame:
-    """Hour by city; the city columns are the (few) values found."""
+    """Hour by city; the city columns are the (few) values found, so the report is computed only once."""
     return (
-        surge_by_hour_city.groupBy("hour_of_day").pivot("city").avg("avg_surge").fillna(1.0).orderBy("hour_of_day")
+        gather_small(surge_by_hour_city).groupBy("hour_of_day").pivot("city").avg("avg_surge").fillna(1.0).orderBy("hour_of_day")
     )
 
 
@@ -211,7 +211,7 @@ def demand_status_grid(driver_demand: DataFrame) -> DataFrame:
     (_, high), (_, lean), (_, balanced) = ALLOCATION_BOUNDS
     code = F.when(load >= high, 3).when(load >= lean, 2).when(load >= balanced, 1).otherwise(0)
     return (
-        driver_demand.groupBy(hour_label(F.col("hour_of_day")).alias("hour")).pivot("city").agg(code)
+        gather_small(driver_demand).groupBy(hour_label(F.col("hour_of_day")).alias("hour")).pivot("city").agg(code)
         .fillna(0).orderBy("hour")
     )
 
@@ -219,7 +219,7 @@ def demand_status_grid(driver_demand: DataFrame) -> DataFrame:
 def risk_grid(segments: DataFrame) -> DataFrame:
     """Vehicle by city: the plain mean of the tier means."""
     return (
-        segments.groupBy("vehicle_type").pivot("city").agg(round_stable(F.avg("avg_cancel_prob_pct"), 1))
+        gather_small(segments).groupBy("vehicle_type").pivot("city").agg(round_stable(F.avg("avg_cancel_prob_pct"), 1))
         .orderBy("vehicle_type")
     )
 

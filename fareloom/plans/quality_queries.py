@@ -38,7 +38,8 @@ ENTRIES: dict[str, Callable[[RideTables], DataFrame]] = {
     "d5_driver_key_check": lambda t: _keyed_by(t, "drivers", "driver_id"),
     "d6_numeric_summary": lambda t: quality.numeric_summary(t.bookings),
     "d7_categorical_summary": lambda t: quality.categorical_summary(t.raw_bookings),
-    "d8_top_values": lambda t: quality.top_values(t.raw_bookings),
+    "d8_top_values": lambda t: quality.top_values(
+        t.raw_bookings, [c for c in quality.BOOKING_CATEGORIES if c in t.raw_bookings.columns]),
     "d9_nulls_by_group": lambda t: quality.nulls_by_group(t.raw_bookings, "booking_status", "incomplete_ride_reason"),
     "d10_booking_value_check": lambda t: quality.booking_value_check(t.bookings),
     "d11_customer_age_check": lambda t: quality.age_check(t.customers, "customer_age", 18, 80),

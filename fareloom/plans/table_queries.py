@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.operators import cleaning
+from fareloom.plans.model_queries import rule_predictions
 from fareloom.plans.quality_queries import five_tables
 from fareloom.sources import schemas, tables
 from fareloom.sources.ride_views import RideTables
@@ -48,6 +50,21 @@ def _replace(t: RideTables) -> DataFrame:
     return tables.replace_predictions(t.predictions, path)
 
 
+def _typed_tables(t: RideTables) -> DataFrame:
+    """The six empty typed tables in a database of their own, two of them filled."""
+    database = f"rides_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {database}")
+    location = tables.scratch_path(t.spark, "tables")
+    tables.create_tables(t.spark, database, location)
+    tables.append_rows(t.location_demand, f"{location}/location_demand", "location_demand")
+    tables.append_rows(rule_predictions(t), f"{location}/predictions", "predictions")
+    filled = {}
+    for name in schemas.TABLES:
+        t.spark.catalog.refreshTable(f"{database}.{name}")
+        filled[name] = t.spark.table(f"{database}.{name}")
+    return tables.row_counts(filled)
+
+
 def _parameterised(t: RideTables) -> DataFrame:
     return tables.run_query(
         t.spark,
@@ -60,10 +77,13 @@ def _parameterised(t: RideTables) -> DataFrame:
 ENTRIES: dict[str, Callable[[RideTables], DataFrame]] = {
     "s1_raw_csv": _raw_roundtrip,
     "s2_s3_cleaned_tables": _cleaned_roundtrip,
+    "s4_typed_tables": _typed_tables,
     "s5_typed_bookings": _typed,
     "s6_known_ride_time": _ride_time,
     "s7_append": _append,
     "s8_replace_predictions": _replace,
     "s9_row_counts": lambda t: tables.row_counts({**five_tables(t), "predictions": t.predictions}),
     "s10_run_query": _parameterised,
+    "s11_cached_query": lambda t: tables.cached_query(
+        t.spark, "SELECT city, count(*) AS rides FROM {bookings} GROUP BY city", bookings=t.bookings),
 }

@@ -114,7 +114,7 @@ FROM value_counts WHERE value IS NOT NULL GROUP BY "column" """, VALUE_COUNTS),
     "d8_top_values": over("raw_bookings", """
 SELECT "column", value, n AS count, CAST(place AS INT) AS place FROM (
   SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value NULLS LAST) AS place FROM value_counts) t
-WHERE place <= 10""", VALUE_COUNTS),
+WHERE place <= 10 AND "column" NOT IN ('booking_id', 'booking_date', 'booking_time')""", VALUE_COUNTS),
     "d9_nulls_by_group": over("raw_bookings", """
 SELECT booking_status, count(*) - count(incomplete_ride_reason) AS nulls FROM raw_bookings GROUP BY booking_status"""),
     "d10_booking_value_check": failures("bookings", off("booking_value", rs("base_fare * surge_multiplier", 2), "1e0")),
@@ -172,6 +172,11 @@ SELECT * REPLACE (CAST(substr(booking_id, 3) AS BIGINT) AS booking_id, CAST(cust
 SELECT booking_id, booking_status, coalesce(actual_ride_time_min, 0e0) AS actual_ride_time_min FROM bookings"""),
     "s7_append": over("location_demand", "SELECT demand_level, count(*) AS count FROM location_demand GROUP BY demand_level"),
     "s8_replace_predictions": over("predictions", "SELECT cancel_risk_tier, count(*) AS count FROM predictions GROUP BY ALL"),
+    "s4_typed_tables": over("predictions location_demand", """
+SELECT 'location_demand' AS table_name, count(*) AS row_count FROM location_demand
+UNION ALL SELECT 'predictions', count(*) FROM predictions UNION ALL SELECT 'bookings', 0 UNION ALL SELECT 'customers', 0
+UNION ALL SELECT 'drivers', 0 UNION ALL SELECT 'time_features', 0"""),
+    "s11_cached_query": over("bookings", "SELECT city, count(*) AS rides FROM bookings GROUP BY city"),
     "s9_row_counts": over(ALL_FIVE + " predictions", union(
         f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in (*FIVE, "predictions"))),
     "s10_run_query": over("bookings", """
