@@ -13,8 +13,8 @@ def gather_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     A local relation has an exact size, so Spark broadcasts it by its own threshold and a join on few distinct
     keys does not shuffle the big side. A larger frame goes through the ordinary shuffled, skew-split join.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
     return df.sparkSession.createDataFrame(rows, df.schema)
 
