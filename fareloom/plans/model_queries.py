@@ -70,6 +70,19 @@ def _projection_report(t: StoredRideTables) -> DataFrame:
     return rows_from(t, rows, "use_case STRING, leaking INT, unwanted INT, columns_left INT, rows BIGINT")
 
 
+def _soundness(t: StoredRideTables) -> DataFrame:
+    """Per task: whether a giveaway column is left among the features, and rows without a target."""
+    frame, rows = engineered(t), []
+    for use_case in ("UC1", "UC2_Cab", "UC2_Auto", "UC2_Bike", "UC3", "UC4"):
+        target = usecases.TARGETS[usecases.base_of(use_case)]
+        left = splitting.drop_missing_target(usecases.project(frame, use_case), target)
+        leaking = set(usecases.leakage_columns(frame, use_case)) & set(left.columns)
+        features = [c for c in left.columns if c not in (usecases.KEY, target)]
+        missing = left.agg(F.count_if(F.col(target).isNull())).first()[0]
+        rows.append((use_case, target in features or bool(leaking), missing))
+    return rows_from(t, rows, "use_case STRING, target_leaks BOOLEAN, null_targets BIGINT")
+
+
 def _vehicle_rows(t: StoredRideTables) -> DataFrame:
     return (
         engineered(t).filter(F.col(engineering.VEHICLE).isin(*VEHICLE_TYPES))
@@ -365,6 +378,7 @@ def _settings_roundtrip(t: StoredRideTables) -> DataFrame:
 
 ENTRIES: dict[str, Build] = {
     "u1_u2_projection": _projection_report,
+    "d20_split_checks": _soundness,
     "u3_vehicle_rows": _vehicle_rows,
     "u4_u5_train_test": lambda t: parted(t).select("booking_id", "booking_status_enc", "split"),
     "u5_plain_split": lambda t: splitting.train_test(t.bookings.select("booking_id"), "booking_id"),

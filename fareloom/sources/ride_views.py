@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fareloom.functions.exprs import recommended_action, risk_tier, weekday_name
 from fareloom.sources import schemas
-from fareloom.sources.tables import settled
+from fareloom.sources.tables import path_exists, scratch_path, settled
 
 
 def _count(condition) -> F.Column:
@@ -286,34 +286,38 @@ class StoredRideTables(RideTables):
 
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__(spark, folder)
+        self.root = scratch_path(spark, "rides")
         self._kept: dict[str, Any] = {}
 
+    def _store(self, df: DataFrame, name: str, even: bool = False) -> DataFrame:
+        return settled(df, name.replace(" ", "_"), even, self.root)
+
     def kept(self, name: str, build: Callable[[], Any]) -> Any:
         """The result of `build`, made once; a DataFrame is stored in the scratch folder."""
         if name not in self._kept:
             made = build()
-            self._kept[name] = settled(made, name) if isinstance(made, DataFrame) else made
+            self._kept[name] = self._store(made, name) if isinstance(made, DataFrame) else made
         return self._kept[name]
 
     @cached_property
     def bookings(self) -> DataFrame:
-        return settled(RideTables.bookings.func(self), "bookings", even=True)
+        return self._store(RideTables.bookings.func(self), "bookings", even=True)
 
     @cached_property
     def customers(self) -> DataFrame:
-        return settled(RideTables.customers.func(self), "customers")
+        return self._store(RideTables.customers.func(self), "customers")
 
     @cached_property
     def drivers(self) -> DataFrame:
-        return settled(RideTables.drivers.func(self), "drivers")
+        return self._store(RideTables.drivers.func(self), "drivers")
 
     @cached_property
     def location_demand(self) -> DataFrame:
-        return settled(RideTables.location_demand.func(self), "location_demand")
+        return self._store(RideTables.location_demand.func(self), "location_demand")
 
     @cached_property
     def time_features(self) -> DataFrame:
-        return settled(RideTables.time_features.func(self), "time_features")
+        return self._store(RideTables.time_features.func(self), "time_features")
 
 
 _stored: dict[tuple[str, str], StoredRideTables] = {}
@@ -326,7 +330,8 @@ def ride_tables(spark: SparkSession, folder: str) -> RideTables:
 def stored_ride_tables(spark: SparkSession, folder: str) -> StoredRideTables:
     """Stored tables of a folder, written at most once per application (see `forget_stored`)."""
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _stored:
+    known = _stored.get(key)
+    if known is None or ("bookings" in known.__dict__ and not path_exists(spark, known.root)):
         _stored[key] = StoredRideTables(spark, folder)
     return _stored[key]
 

@@ -38,13 +38,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame, name: str = "settled", even: bool = False) -> DataFrame:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def settled(df: DataFrame, name: str = "settled", even: bool = False, folder: str | None = None) -> DataFrame:
     """The frame written once as Parquet and read back: later jobs start from files, whatever executors are lost.
 
     With `even` the rows are rebalanced first. That is one more shuffle, for tables that many jobs scan: joins on
     hot keys or few large inputs would otherwise leave files of very different size.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = f"{folder}/{name}" if folder else scratch_path(df.sparkSession, name)
     (df.hint("rebalance") if even else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -172,7 +177,6 @@ def save_json(spark: SparkSession, content: object, path: str) -> None:
 
 def load_json(spark: SparkSession, path: str, default: object = None) -> object:
     """The stored document, or `default` when there is none."""
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath):
+    if not path_exists(spark, path):
         return default
     return json.loads(spark.read.text(path).first()["value"])

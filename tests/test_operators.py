@@ -191,3 +191,16 @@ def test_catalog_tables(spark, tmp_path):
     assert spark.table("predictions").schema.fieldNames() == schemas.PREDICTIONS.names
     for name in made:
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_stored_tables_are_made_again_after_their_folder_is_gone(spark, sf_dir):
+    from fareloom.sources.ride_views import forget_stored, stored_ride_tables
+
+    first = stored_ride_tables(spark, sf_dir + "/")
+    rows = first.time_features.count()
+    assert stored_ride_tables(spark, sf_dir + "/") is first
+    first.root += "-gone"
+    second = stored_ride_tables(spark, sf_dir + "/")
+    assert second is not first and second.time_features.count() == rows
+    forget_stored(spark, sf_dir + "/")
+    assert stored_ride_tables(spark, sf_dir + "/") is not second
