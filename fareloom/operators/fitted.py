@@ -138,8 +138,11 @@ def apply_lean_loyalty(df: DataFrame, longest: float) -> DataFrame:
 def fit_scaler(train: DataFrame, columns: Sequence[str] = SCALED_COLUMNS) -> dict[str, tuple[float, float]]:
     """Mean and population deviation per column; a constant column is divided by 1."""
     present = [c for c in columns if c in train.columns]
-    row = one_row(train.agg(*[F.avg(c).alias(f"{c}__mean") for c in present],
-                            *[F.stddev_pop(c).alias(f"{c}__std") for c in present]))
+    # Constant is told by the extremes: merged partial deviations can be tiny instead of zero.
+    row = one_row(train.agg(
+        *[F.avg(c).alias(f"{c}__mean") for c in present],
+        *[F.when(F.min(c) < F.max(c), F.stddev_pop(c)).alias(f"{c}__std") for c in present],
+    ))
     return {c: (row[f"{c}__mean"] or 0.0, row[f"{c}__std"] or 1.0) for c in present}
 
 

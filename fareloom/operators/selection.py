@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.stat import Correlation
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +16,14 @@ from fareloom.operators.training import with_class_weights
 
 
 def _pearson(x: Column, y: Column) -> Column:
-    """Correlation over the rows that have both; null for a constant side, where `corr` would divide by zero."""
-    y_there = F.when(x.isNotNull(), y)
-    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(y_there)
-    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+    """Correlation over the rows that have both; null for a constant side, where `corr` would divide by zero.
+
+    A constant side is told by its extremes: merging partial deviations can leave a tiny value instead of zero.
+    """
+    both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    varies = (F.min(both_x) < F.max(both_x)) & (F.min(both_y) < F.max(both_y))
+    spread = F.stddev_pop(both_x) * F.stddev_pop(both_y)
+    return F.when(varies, F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0)))
 
 
 def target_correlations(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
@@ -47,7 +51,12 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> list[list[float]]:
     """Pearson matrix of the features (no missing values allowed), NaN where a feature is constant."""
-    return Correlation.corr(_assembled(df, features).select("features"), "features").first()[0].toArray().tolist()
+    vectors = _assembled(df, features).select("features")
+    matrix = Correlation.corr(vectors, "features").first()[0].toArray()
+    ends = vectors.select(Summarizer.metrics("min", "max").summary(F.col("features")).alias("e")).first()["e"]
+    constant = ends["min"].toArray() == ends["max"].toArray()
+    matrix[constant, :] = matrix[:, constant] = math.nan
+    return matrix.tolist()
 
 
 def redundant_features(features: Sequence[str], matrix: Sequence[Sequence[float]], strength: dict[str, float | None],

@@ -204,3 +204,16 @@ def test_stored_tables_are_made_again_after_their_folder_is_gone(spark, sf_dir):
     assert second is not first and second.time_features.count() == rows
     forget_stored(spark, sf_dir + "/")
     assert stored_ride_tables(spark, sf_dir + "/") is not second
+
+
+def test_constant_over_many_partitions(spark):
+    """Partial deviations of a constant do not add up to exactly zero over partitions, some of them empty."""
+    df = spark.range(0, 4900, 1, 100).filter("id % 7 <> 3 OR id > 400").select(
+        F.lit(1.1).alias("base_fare"), (F.col("id") % 13).cast("double").alias("delay_rate"),
+        (F.col("id") % 2).cast("double").alias("y")).filter("y >= 0")
+    found = {r["feature"]: r["correlation"] for r in
+             selection.target_correlations(df, ["base_fare", "delay_rate"], "y").collect()}
+    assert found["base_fare"] is None and found["delay_rate"] is not None
+    assert fitted.fit_scaler(df)["base_fare"][1] == 1.0
+    matrix = selection.correlation_matrix(df, ["base_fare", "delay_rate", "y"])
+    assert math.isnan(matrix[0][2]) and not math.isnan(matrix[1][2])
