@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bounds the rows that a Python worker holds at once."""
+_shipped: set[str] = set()
+
+
+def python_tasks(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Readies the session for Python tasks: bounds the rows a worker holds at once and gives workers this package's code.
+
+    The code goes out once per application as a zip that Spark serves to its executors, so that they need no install.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        place = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+        with zipfile.ZipFile(place, "w") as archive:
+            for source in sorted(package.rglob("*.py")):
+                archive.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(place))
+        _shipped.add(application)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.llm.frames import small_batches, stored
+from fareloom.llm.frames import python_tasks, stored
 from fareloom.llm.words import text_slices
 
 PIECES = "doc_id long, uid long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -124,7 +124,7 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def token_pieces(docs: DataFrame, vocabulary: str, pattern: str, window: int, end_id: int) -> DataFrame:
     """One row per piece: whole windows, then the rest. uid tells all pieces apart."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = hash((vocabulary, pattern))

@@ -105,14 +105,15 @@ def hash_words(data: np.ndarray, words: Words, lower: bool = False) -> np.ndarra
         return mixed(np.add.reduceat(terms, before) + lengths.astype(np.uint64))
 
 
-def hash_windows(hashes: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
-    """A 64-bit hash of every run of `width` consecutive word hashes, in order (texts are not told apart)."""
-    if len(hashes) < width:
-        return np.zeros(0, np.uint64)
+def hash_windows(hashes: np.ndarray, width: int, salt: int = 0, starts: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of every run of `width` consecutive word hashes (texts are not told apart), or of those at `starts`."""
+    count = max(len(hashes) - width + 1, 0) if starts is None else len(starts)
+    out = np.zeros(count, np.uint64)
+    if not count:
+        return out
     factor = powers((0xD6E8FEB86659FD93 + 2 * salt * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF, width)
     h = mixed(hashes, salt)
-    out = np.zeros(len(h) - width + 1, np.uint64)
     with np.errstate(over="ignore"):
         for i in range(width):
-            out += h[i:len(h) - width + 1 + i] * factor[i]
+            out += (h[i:count + i] if starts is None else h[starts + i]) * factor[i]
     return mixed(out, salt + 1)
