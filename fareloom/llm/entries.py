@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fareloom.llm import mixing, packing
+from fareloom.llm import mixing, neighbours, packing, partenum, pii, secret_scan, substrings, vector_dedup
 from fareloom.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,17 +16,48 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data_report(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_copies(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.deduplicated(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.linked_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
 
+def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_personal_data": op1_personal_data,
     "op2_mix_sources": op2_mix_sources,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op7_pack_sequences": op7_pack_sequences,
+    "op8_nearest_vectors": op8_nearest_vectors,
+    "op9_secrets": op9_secrets,
+    "op10_vector_dedup": op10_vector_dedup,
 }
 
 MIX_SQL = r"""

@@ -133,6 +133,8 @@ def compared(group: pa.Table, spaces: Subspaces, cosine: float) -> tuple[np.ndar
                     first &= apart[:, spaces.members[b]].sum(axis=1) > spaces.budget[b]
                 first &= apart[:, spaces.members[block]].sum(axis=1) <= spaces.budget[block]
                 i, j = i[first], j[first]
+                if not len(i):
+                    continue
                 count += np.bincount(i, minlength=len(node)) + np.bincount(j, minlength=len(node))
                 edges = np.flatnonzero(np.append(True, i[1:] != i[:-1]))
                 for a, others in zip(i[edges], np.split(j, edges[1:])):
