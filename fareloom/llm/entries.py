@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import mixing, neighbours, packing, partenum, pii, secret_scan, substrings, vector_dedup
-from fareloom.llm.frames import table
+from fareloom.llm import langid, mixing, neighbours, packing, partenum, pii, quality, secret_scan, substrings, vector_dedup
+from fareloom.llm.frames import crc_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_copies(table(spark, sf_dir, "documents"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identified(table(spark, sf_dir, "documents"), trains=crc_remainder(3) != 1)
+    return found.select("doc_id", (crc_remainder(3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.deduplicated(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -33,6 +38,11 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.linked_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), trains=crc_remainder(5) != 0)
+    return scores.select("doc_id", (crc_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN)
 
@@ -52,8 +62,10 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op2_mix_sources": op2_mix_sources,
+    "op3_language": op3_language,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_quality": op6_quality,
     "op7_pack_sequences": op7_pack_sequences,
     "op8_nearest_vectors": op8_nearest_vectors,
     "op9_secrets": op9_secrets,

@@ -5,6 +5,8 @@ Everything is a column expression, a join or an aggregate.
 1. The fixed forms (email, ip, card, phone) are the seed entities.
 2. Strings that carry a digit or an at sign are instances, each occurrence with the word before it, the word after it and
    its shape. A lexical pattern is one of the two words with the shape. Patterns and instances form a graph.
+   Strings of a fixed form that fail its check (a card without a valid check digit) are seeds of a kind of their own, which
+   is never reported and speaks against their contexts.
 3. Scores run over the graph for some rounds. A pattern's confidence for a kind is the mean score of its distinct
    instances; it counts with at least `support` seeds' worth of score. An instance's score is 1 if it is a seed of the kind, 0
    if it is one of another kind, else 1 - prod(1 - confidence) over its patterns.
@@ -66,13 +68,19 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+REFUSED = "-"
+
+
 def label(found: Column) -> Column:
-    """The kind whose form a string carries, or null."""
+    """The kind whose form a string carries; REFUSED if it has the form of one and fails its check; else null."""
     whole = lambda pattern: F.regexp_extract(found, pattern, 0)
-    return (
-        F.when(whole(EMAIL) != "", "email").when((whole(IP) != "") & valid_ip(whole(IP)), "ip")
-        .when((whole(CARD) != "") & valid_card(whole(CARD)), "card").when((whole(PHONE) != "") & valid_phone(whole(PHONE)), "phone")
-    )
+    shaped = {"ip": (IP, valid_ip), "card": (CARD, valid_card), "phone": (PHONE, valid_phone)}
+    kind = F.when(whole(EMAIL) != "", "email")
+    for name, (pattern, valid) in shaped.items():
+        kind = kind.when((whole(pattern) != "") & valid(whole(pattern)), name)
+    for pattern, _ in shaped.values():
+        kind = kind.when(whole(pattern) != "", REFUSED)
+    return kind
 
 
 # Instances: phone and card forms first, which may hold blanks, then any string with a digit or an at sign.
@@ -119,7 +127,7 @@ def scored_instances(occurrences: DataFrame, rounds: int, support: float, accept
         scores = stored(seeds.unionByName(found), "pii-scores")
     known = edges.where("label IS NOT NULL").select("instance").distinct()
     return scores.where(F.col("score") >= accept).join(known, "instance", "left_anti").groupBy("instance").agg(
-        F.max_by("kind", F.struct("score", "kind")).alias("kind"))
+        F.max_by("kind", F.struct("score", "kind")).alias("kind")).where(F.col("kind") != REFUSED)
 
 
 def personal_data(docs: DataFrame, rounds: int = 3, support: float = 3.0, accept: float = 0.9) -> DataFrame:
