@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from fareloom.llm.components import components
 from fareloom.llm.frames import runs, python_tasks, stored, text_column
+from fareloom.llm.sketches import rows_of_ids
 from fareloom.llm.words import hash_windows, hash_words, mixed, split_words, text_slices
 
 BLOCK = 256  # members of a cluster that one task compares with another such block
@@ -194,8 +195,8 @@ def verified(placed: DataFrame, docs: DataFrame, keys: list[str], shingle: int,
     `placed` has the keys of the group, node, h1 (its set) and `first` (compared with all of its group).
     """
     python_tasks(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").alias("node"), text_column().alias("text"))
-    rows = placed.join(texts, "node").repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_column().alias("text"))
+    rows = placed.join(rows_of_ids(texts, placed.select("node").distinct(), "node"), "node").repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, keys):

@@ -30,9 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.llm.frames import python_tasks, stored, text_column
-from fareloom.llm.words import Words, hash_windows, hash_words, mixed, split_words, text_slices
-
-SEGMENT = 1 << 20  # counters of one merged range
+from fareloom.llm.sketches import SKETCH, estimated, merged_bits, partition_sketch
+from fareloom.llm.words import Words, hash_windows, hash_words, split_words, text_slices
 
 
 class Windows:
@@ -71,76 +70,17 @@ class Windows:
         return self.anchors[new]
 
 
-def counter_places(anchors: np.ndarray, counters: int, depth: int) -> Iterator[np.ndarray]:
-    for row in range(depth):
-        yield (mixed(anchors, 100 + row) & np.uint64(counters - 1)).astype(np.int64) + row * counters
-
-
 def repeated_counters(docs: DataFrame, width: int, anchor: int, counters: int, depth: int) -> np.ndarray:
     """Bits of the merged sketch: which of the depth x counters counters reached 2."""
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The partition's sketch, counters that are not 0 only: by range, those at 1 and those at 2 or more."""
-        held: list[np.ndarray] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            places, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            edges = np.searchsorted(places, np.arange(0, depth * counters + SEGMENT, SEGMENT))
-            ranges = [(k, places[a:b] - k * SEGMENT, counts[a:b]) for k, (a, b) in enumerate(zip(edges, edges[1:])) if b > a]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([k for k, _, _ in ranges], pa.int32()),
-                pa.array([p[c == 1].astype("<u4").tobytes() for _, p, c in ranges], pa.binary()),
-                pa.array([p[c > 1].astype("<u4").tobytes() for _, p, c in ranges], pa.binary()),
-            ], ["segment", "once", "more"])
-
-        size = 0
-        for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column(0)):
-                anchors = Windows(data, offsets, width, anchor).occurrences()
-                held.extend(counter_places(anchors, counters, depth))
-                size += len(anchors) * depth
-            if size > 8_000_000:
-                yield from flush()
-                size = 0
-        if held and size:
-            yield from flush()
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sums of all partition sketches, one range of counters at a time; the rows stand in order of ranges."""
-        current, sums = -1, np.zeros(SEGMENT, np.uint8)
-
-        def closed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([current], pa.int32()), pa.array([np.packbits(sums > 1).tobytes()], pa.binary())], ["segment", "bits"])
-
-        for batch in batches:
-            for segment, once, more in zip(*(c.to_pylist() for c in batch.columns)):
-                if segment != current:
-                    if current >= 0:
-                        yield closed()
-                    current = segment
-                    sums[:] = 0
-                at = np.frombuffer(once, "<u4")
-                sums[at] = np.minimum(sums[at] + 1, 2)
-                sums[np.frombuffer(more, "<u4")] = 2
-        if current >= 0:
-            yield closed()
-
     python_tasks(docs.sparkSession)
-    parts = docs.select("text").mapInArrow(sketch, "segment int, once binary, more binary")
-    merged = parts.repartition(F.col("segment")).sortWithinPartitions("segment").mapInArrow(merge, "segment int, bits binary")
-    bits = np.zeros(depth * counters // 8, np.uint8)
-    for row in merged.collect():  # depth x counters bits altogether
-        bits[row.segment * SEGMENT // 8:(row.segment + 1) * SEGMENT // 8] = np.frombuffer(row.bits, np.uint8)
-    return bits
 
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors = (
+            Windows(data, offsets, width, anchor).occurrences()
+            for batch in batches for _, _, data, offsets in text_slices(batch.column(0)))
+        yield from partition_sketch(anchors, counters, depth)
 
-def estimated_repeated(anchors: np.ndarray, bits: np.ndarray, counters: int, depth: int) -> np.ndarray:
-    seen = np.ones(len(anchors), bool)
-    for places in counter_places(anchors, counters, depth):
-        seen &= (bits[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 > 0
-    return seen
+    return merged_bits(docs.select("text").mapInArrow(sketch, SKETCH), counters, depth, 2)
 
 
 def repeated_starts(docs: DataFrame, width: int, anchor: int, counters: int, depth: int) -> DataFrame:
@@ -153,7 +93,7 @@ def repeated_starts(docs: DataFrame, width: int, anchor: int, counters: int, dep
         for batch in batches:
             for first, _, data, offsets in text_slices(batch.column(2)):
                 windows = Windows(data, offsets, width, anchor)
-                keep = np.flatnonzero(estimated_repeated(windows.anchors, bits, counters, depth))
+                keep = np.flatnonzero(estimated(windows.anchors, bits, counters, depth))
                 if not len(keep):
                     continue
                 at = windows.start[keep]
