@@ -9,8 +9,11 @@ of counters says for most that they occur once.
 2. Every task counts its anchors into `depth` rows of `counters` counters. The partition sketches are merged by counter
    range; counters that reached 2 become bits. Sums over hashed counters only overestimate, so no repeat is lost.
 3. A second pass over the texts hashes the windows whose anchor is estimated repeated (every counter at 2) and groups
-   exactly these by their hash (96 bits of the words' 64-bit hashes).
-4. Starts of repeated windows go back to their documents, which are cut.
+   exactly these by their hash (96 bits of the words' 64-bit hashes). A group of one is a window that was estimated
+   wrongly, and its place is known; all others are repeated.
+4. A last pass finds the estimated windows again, leaves out the wrong ones, which were sent to their documents, and cuts
+   what the others cover. So only hashes and counts move, not all places of repeated windows, and a window that
+   occurs very often is combined ahead of the shuffle.
 
 The sketch that the tasks read has depth x counters bits, a size set by parameters and not by the data; more counters
 make the prefilter sharper, never the result different.
@@ -26,12 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.frames import python_tasks, stored, text_column
+from fareloom.llm.frames import python_tasks, text_column
 from fareloom.llm.sketches import SKETCH, estimated, merged_bits, partition_sketch
-from fareloom.llm.words import Words, hash_windows, hash_words, split_words, text_slices
+from fareloom.llm.words import hash_windows, hash_words, split_words, text_slices
 
 
 class Windows:
@@ -83,46 +87,34 @@ def repeated_counters(docs: DataFrame, width: int, anchor: int, counters: int, d
     return merged_bits(docs.select("text").mapInArrow(sketch, SKETCH), counters, depth, 2)
 
 
-def repeated_starts(docs: DataFrame, width: int, anchor: int, counters: int, depth: int) -> DataFrame:
-    """doc_id, text_key and start (word) of every window whose word sequence starts at two or more places."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(repeated_counters(docs, width, anchor, counters, depth))
+def wrong_starts(docs: DataFrame, bits: Broadcast, width: int, anchor: int, counters: int, depth: int) -> DataFrame:
+    """doc_id, text_key and start (word) of every window that is estimated repeated and starts at one place only."""
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
         for batch in batches:
+            keys = batch.column(1).to_numpy()
             for first, _, data, offsets in text_slices(batch.column(2)):
                 windows = Windows(data, offsets, width, anchor)
-                keep = np.flatnonzero(estimated(windows.anchors, bits, counters, depth))
+                keep = np.flatnonzero(estimated(windows.anchors, bits.value, counters, depth))
                 if not len(keep):
                     continue
-                at = windows.start[keep]
-                text = windows.text[keep]
-                row = pa.array(text + first)
+                at, text = windows.start[keep], windows.text[keep]
+                place = ((at - windows.words.first[text]) << 32) + keys[text + first]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(hash_windows(windows.hashes, width, 1, at).view(np.int64)),
                     pa.array((hash_windows(windows.hashes, width, 2, at) >> np.uint64(33)).astype(np.int32)),
-                    batch.column(0).take(row), batch.column(1).take(row),
-                    pa.array((at - windows.words.first[text]).astype(np.int32)),
-                ], ["h1", "h2", "doc_id", "text_key", "start"])
+                    batch.column(0).take(pa.array(text + first)), pa.array(place),
+                ], ["h1", "h2", "doc_id", "place"])
 
-    found = stored(keyed(docs).mapInArrow(candidates, "h1 long, h2 int, doc_id long, text_key int, start int"), "substring-windows")
-    counted = found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("h1", "h2")
-    return found.join(counted, ["h1", "h2"], "left_semi").select("doc_id", "text_key", "start")
+    found = keyed(docs).mapInArrow(candidates, "h1 long, h2 int, doc_id long, place long")
+    single = found.groupBy("h1", "h2").agg(
+        F.count(F.lit(1)).alias("places"), F.min("doc_id").alias("doc_id"), F.min("place").alias("place")).where("places = 1")
+    return single.select("doc_id", F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).alias("text_key"), F.shiftright("place", 32).cast("int").alias("start"))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text_key and text: id and key together tell texts apart, equal rows share them."""
-    return docs.select("doc_id", F.hash(text_column()).alias("text_key"), text_column().alias("text"))
-
-
-def kept_words(words: Words, width: int, text: int, starts: np.ndarray) -> np.ndarray:
-    """Which words of a text no marked window covers."""
-    count = int(words.first[text + 1] - words.first[text])
-    edge = np.zeros(count + width + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + width, -1)
-    return np.cumsum(edge)[:count] <= 0
+    return docs.select("doc_id", F.hash(text_column()).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).alias("text_key"), text_column().alias("text"))
 
 
 def joined_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
@@ -138,36 +130,41 @@ def joined_words(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
     return out[:-1].tobytes()
 
 
-def deduplicated(docs: DataFrame, width: int = 35, anchor: int = 16, counters: int = 1 << 26, depth: int = 2) -> DataFrame:
+def deduplicated(docs: DataFrame, width: int = 35, anchor: int = 16, counters: int = 1 << 27, depth: int = 2) -> DataFrame:
     """doc_id, n_words, n_removed and kept (the words left, joined by blanks) of each row of `docs`."""
-    marks = (
-        repeated_starts(docs, width, anchor, counters, depth)
-        .groupBy(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key")).agg(F.collect_set("start").alias("starts"))
+    bits = docs.sparkSession.sparkContext.broadcast(repeated_counters(docs, width, anchor, counters, depth))
+    wrong = (
+        wrong_starts(docs, bits, width, anchor, counters, depth)
+        .groupBy(F.col("doc_id").alias("w_id"), F.col("text_key").alias("w_key")).agg(F.collect_set("start").alias("wrong"))
     )
-    own = keyed(docs)
-    joined = own.join(marks, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_key") == F.col("m_key")), "left")
+    joined = keyed(docs).join(wrong, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_key") == F.col("w_key")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts = batch.column(2)
+            wrong_of = batch.column(2)
             rows = []
-            for first, end, data, offsets in text_slices(batch.column(1)):
-                words = split_words(data, offsets)
-                for i in range(end - first):
-                    a, b = words.first[i], words.first[i + 1]
-                    marked = starts[first + i]
-                    if marked.is_valid:
-                        keep = kept_words(words, width, i, marked.values.to_numpy())
-                        kept = joined_words(data, words.start[a:b][keep], words.end[a:b][keep])
-                        removed = int(b - a - keep.sum())
-                    else:
-                        kept, removed = joined_words(data, words.start[a:b], words.end[a:b]), 0
-                    rows.append((int(b - a), removed, kept))
+            for start, end, data, offsets in text_slices(batch.column(1)):
+                windows = Windows(data, offsets, width, anchor)
+                words, first = windows.words, windows.words.first
+                repeated = np.zeros(len(words.start) + 1, bool)
+                repeated[windows.start[estimated(windows.anchors, bits.value, counters, depth)]] = True
+                for i in range(end - start):
+                    if wrong_of[start + i].is_valid:
+                        repeated[first[i] + wrong_of[start + i].values.to_numpy()] = False
+                at = np.flatnonzero(repeated)
+                edge = np.zeros(len(words.start) + 1, np.int64)
+                np.add.at(edge, at, 1)
+                np.add.at(edge, at + width, -1)
+                keep = np.cumsum(edge)[:-1] <= 0
+                for i in range(end - start):
+                    own = keep[first[i]:first[i + 1]]
+                    kept = joined_words(data, words.start[first[i]:first[i + 1]][own], words.end[first[i]:first[i + 1]][own])
+                    rows.append((len(own), int(len(own) - own.sum()), kept))
             columns = list(zip(*rows)) or [()] * 3
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
                 pa.array(columns[2], pa.binary()).cast(pa.string()),
             ], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return joined.select("doc_id", "text", "starts").mapInArrow(
+    return joined.select("doc_id", "text", "wrong").mapInArrow(
         cut, "doc_id long, n_words long, n_removed long, kept string")
