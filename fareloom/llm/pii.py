@@ -3,8 +3,8 @@
 Everything is a column expression, a join or an aggregate.
 
 1. The fixed forms (email, ip, card, phone) are the seed entities.
-2. Strings that carry a digit or an at sign are instances, each occurrence with the word before it, the word after it and
-   its shape. A lexical pattern is one of the two words with the shape. Patterns and instances form a graph.
+2. Strings that carry a digit or an at sign are instances. The word before an occurrence, the word after it and both
+   together are its lexical patterns. Patterns and instances form a graph.
    Strings of a fixed form that fail its check (a card without a valid check digit) are seeds of a kind of their own, which
    is never reported and speaks against their contexts.
 3. Scores run over the graph for some rounds. A pattern's confidence for a kind is the mean score of its distinct
@@ -89,7 +89,10 @@ INSTANCE = rf"{PHONE}|{CARD}|{TOKEN}"
 
 def instances(text: Column) -> Column:
     """start, end, found and the words before and after each instance of a text."""
-    spans = located(text, INSTANCE, text.rlike("[0-9@]"))
+    whole = located(text, INSTANCE, text.rlike("[0-9@]"))
+    bare = lambda found: F.regexp_replace(found, r"[.,;:!?)\]]+$", "")
+    spans = F.transform(whole, lambda s: F.struct(
+        s["start"].alias("start"), (s["start"] + F.length(bare(s["found"]))).alias("end"), bare(s["found"]).alias("found")))
     word = lambda part, pattern: F.lower(F.regexp_replace(F.regexp_extract(part, pattern, 1), r"[^\p{L}\p{N}:=#]", ""))
     before = lambda s: F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
     after = lambda s: F.substring(text, s["end"] + 1, F.lit(CONTEXT))
@@ -98,19 +101,13 @@ def instances(text: Column) -> Column:
         word(before(s), r"(\S+)\s*$").alias("left"), word(after(s), r"^\s*(\S+)").alias("right")))
 
 
-def shape(found: Column) -> Column:
-    """Runs of letters and digits by one sign each."""
-    letters = F.regexp_replace(F.regexp_replace(found, r"\p{Lu}+", "A"), r"[\p{L}&&[^A]]+", "a")
-    return F.regexp_replace(letters, "[0-9]+", "9")
-
-
 def scored_instances(occurrences: DataFrame, rounds: int, support: float, accept: float) -> DataFrame:
     """instance and kind of the unlabelled strings that reach `accept`."""
-    sides = F.array(F.concat(F.lit("<"), "left", F.lit(" "), "shape"), F.concat(F.lit(">"), "right", F.lit(" "), "shape"))
-    worded = F.filter(sides, lambda p: ~p.rlike("^[<>] "))
+    left, right = F.col("left"), F.col("right")
+    words = F.array(F.when(left != "", F.concat(left, F.lit(" _"))), F.when(right != "", F.concat(F.lit("_ "), right)),
+                    F.when((left != "") & (right != ""), F.concat(left, F.lit(" _ "), right)))
     edges = stored(
-        occurrences.withColumn("shape", shape(F.col("found")))
-        .select(F.explode(worded).alias("pattern"), F.col("found").alias("instance"), "label").distinct(), "pii-edges")
+        occurrences.select(F.explode(F.array_compact(words)).alias("pattern"), F.col("found").alias("instance"), "label").distinct(), "pii-edges")
     sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("size"))
     seeds = edges.where("label IS NOT NULL").select("instance", F.col("label").alias("kind"), F.lit(1.0).alias("score")).distinct()
     scores = seeds
@@ -130,7 +127,7 @@ def scored_instances(occurrences: DataFrame, rounds: int, support: float, accept
         F.max_by("kind", F.struct("score", "kind")).alias("kind")).where(F.col("kind") != REFUSED)
 
 
-def personal_data(docs: DataFrame, rounds: int = 3, support: float = 3.0, accept: float = 0.9) -> DataFrame:
+def personal_data(docs: DataFrame, rounds: int = 3, support: float = 5.0, accept: float = 0.9) -> DataFrame:
     """doc_id, base (fixed forms) and all_spans (with those found by context), sorted by kind and start, of each row."""
     text = text_column()
     found = base_spans(text)
