@@ -40,9 +40,14 @@ def flag(condition: Column) -> Column:
 
 
 def round_stable(value: Column, digits: int) -> Column:
-    """Round half up with a small nudge, so sums added in another order round alike."""
-    scale = float(10 ** digits)
-    return F.floor(value.cast("double") * scale + 0.5 + 1e-6) / F.lit(scale)
+    """Round half up with a small nudge, so sums added in another order round alike.
+
+    NaN, infinities and numbers so large that they have no such digits stay as they are.
+    """
+    number, scale = value.cast("double"), float(10 ** digits)
+    scaled = number * scale
+    has_digits = F.abs(scaled) < F.lit(2.0 ** 53)  # false for infinities and, as NaN is the largest value, for NaN
+    return F.when(has_digits, F.floor(scaled + 0.5 + 1e-6) / F.lit(scale)).otherwise(number)
 
 
 def steady(value: Column) -> Column:

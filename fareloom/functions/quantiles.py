@@ -14,75 +14,70 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fareloom.functions.small import gather_small
 from fareloom.sources.tables import settled
 
-# Below this many rows per group the bracket is simply the whole range.
-BRACKET_FROM_ROWS = 100_000
 # The bracket spans this share of the rows on each side; the sketch is ten times finer.
 BRACKET_MARGIN = 1e-4
 SKETCH_ACCURACY = 100_000
-SLICES = 256
+SLICE_VALUES = 1_000_000
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-                    bracket_from_rows: int = BRACKET_FROM_ROWS) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linearly interpolated quantiles: one row per group and column with `feature` and `q0`, `q1`, ...
 
-    Nulls are left out. The result equals `percentile` and numpy's default method.
+    Nulls are left out. The result equals `percentile` and numpy's default method. In few rows a bracket can miss a
+    wanted rank by one place, so the nearest values below and above each bracket are kept as well.
     """
     by = list(by)
-    long = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in columns
-    ])).alias("v")).select(*by, "v.feature", "v.x").filter(F.col("x").isNotNull())
-    keys = [*by, "feature"]
-
     marks = [max(p - BRACKET_MARGIN, 0.0) for p in probs] + [min(p + BRACKET_MARGIN, 1.0) for p in probs]
+    number = {c: F.col(c).cast("double") for c in columns}
 
-    def edge(whole: str, i: int) -> Column:
-        return F.when(F.col("n") <= bracket_from_rows, F.col(whole)).otherwise(F.col("marks")[i])
-
+    # One wide pass for all columns, without a row per column.
+    sketches = df.groupBy(*by).agg(*[
+        F.struct(F.lit(c).alias("feature"), F.count(x).alias("n"), F.percentile_approx(x, marks, SKETCH_ACCURACY).alias("marks")).alias(f"_s{k}")
+        for k, (c, x) in enumerate(number.items())
+    ])
     ranks = []
     for i, p in enumerate(probs):
-        position = (F.col("n") - 1) * F.lit(float(p))
+        position = (F.col("s.n") - 1) * F.lit(float(p))
         ranks.append(F.struct(
-            F.lit(i).alias("i"),
-            edge("least", i).alias("low"),
-            edge("most", len(probs) + i).alias("high"),
-            F.floor(position).alias("at"),
-            (position - F.floor(position)).alias("part"),
+            F.lit(i).alias("i"), F.get("s.marks", F.lit(i)).alias("low"), F.get("s.marks", F.lit(len(probs) + i)).alias("high"),
+            (F.floor(position) + 1).alias("at"), (position - F.floor(position)).alias("part"),
         ))
-    brackets = gather_small(
-        long.groupBy(*keys)
-        .agg(
-            F.count("x").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"),
-            F.percentile_approx("x", marks, SKETCH_ACCURACY).alias("marks"),
-        )
-        .select(*keys, F.explode(F.array(*ranks)).alias("r"))
-        .select(*keys, "r.*")
+    brackets = (
+        sketches.select(*by, F.explode(F.array(*[f"_s{k}" for k in range(len(columns))])).alias("s")).filter("s.n > 0")
+        .select(*by, F.col("s.feature").alias("feature"), F.explode(F.array(*ranks)).alias("r")).select(*by, "feature", "r.*")
     )
+    long = df.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), x.alias("x")) for c, x in number.items()
+    ])).alias("v")).select(*by, "v.feature", "v.x").filter(F.col("x").isNotNull())
 
-    # One shuffle of (group, rank, value) counts; everything below the bracket is one row, above it is dropped.
-    inside = F.when(F.col("x") >= F.col("low"), F.col("x"))
-    counted = (
-        long.join(brackets, keys)
-        .filter(F.col("x") <= F.col("high"))
-        .groupBy(*keys, "i", "at", "part", inside.alias("value"))
-        .agg(F.count(F.lit(1)).alias("c"))
+    # One row per bracket for what lies outside, one per value inside: only these are ordered.
+    keys = [*by, "feature", "i"]
+    placed = long.join(brackets, [*by, "feature"])
+    outside = placed.groupBy(*keys, "at", "part").agg(
+        F.count_if(F.col("x") < F.col("low")).alias("below"),
+        F.max(F.when(F.col("x") < F.col("low"), F.col("x"))).alias("before"),
+        F.min(F.when(F.col("x") > F.col("high"), F.col("x"))).alias("after"),
     )
-    in_order = Window.partitionBy(*keys, "i").orderBy(F.col("value").asc_nulls_first())
-    upto = F.sum("c").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inside = placed.filter(F.col("x").between(F.col("low"), F.col("high"))).groupBy(*keys, F.col("x").alias("value")).agg(F.count(F.lit(1)).alias("c"))
+    in_order = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = inside.withColumn("upto", F.sum("c").over(in_order))
+
+    def at_rank(rank: Column) -> Column:
+        return F.min(F.when(F.col("below") + F.col("upto") >= rank, F.col("value")))
+
     found = (
-        counted.withColumn("upto", upto)
-        .filter(F.col("value").isNotNull() & (F.col("upto") > F.col("at")))
-        .groupBy(*keys, "i", "part")
-        .agg(
-            F.min("value").alias("x0"),
-            F.min(F.when(F.col("upto") > F.col("at") + 1, F.col("value"))).alias("x1"),
-        )
+        outside.join(ordered, keys)
+        .groupBy(*keys, "at", "part", "below", "before", "after")
+        .agg(at_rank(F.col("at")).alias("x0"), at_rank(F.col("at") + 1).alias("x1"))
+        .withColumns({
+            "x0": F.when(F.col("at") <= F.col("below"), F.col("before")).otherwise(F.coalesce("x0", "after")),
+            "x1": F.when(F.col("at") + 1 <= F.col("below"), F.col("before")).otherwise(F.coalesce("x1", "after")),
+        })
         .withColumn("q", F.col("x0") + (F.coalesce("x1", "x0") - F.col("x0")) * F.col("part"))
     )
-    return found.groupBy(*keys).agg(
+    return found.groupBy(*by, "feature").agg(
         *[F.max(F.when(F.col("i") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))]
     )
 
@@ -94,11 +89,11 @@ def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
 
 def running_totals(df: DataFrame, order_by: str, totals: Mapping[str, Column], descending: bool = False,
-                   slices: int = SLICES) -> DataFrame:
+                   slices: int | None = None) -> DataFrame:
     """Per distinct `order_by` value: each total (`name`) and its running sum in that order (`cum_<name>`).
 
     Rows are first combined per value. The values are cut into slices of about equal size, so no slice depends on
-    how the values are spread; a value that holds most of the rows is still one row.
+    how the values are spread, and their number grows with the values; a value that holds most of the rows is still one row.
     """
     names = list(totals)
     # Stored, because the cut points, the slice totals and the slices all start from it.
@@ -108,8 +103,10 @@ def running_totals(df: DataFrame, order_by: str, totals: Mapping[str, Column], d
         .agg(*[expr.alias(name) for name, expr in totals.items()]),
         "per_value",
     )
+    if slices is None:  # slices of bounded size, however many values there are
+        slices = max(2, -(-per_value.count() // SLICE_VALUES))
     marks = per_value.agg(
-        F.percentile_approx(order_by, [i / slices for i in range(1, slices)], 10 * slices).alias("m")
+        F.percentile_approx(order_by, [i / slices for i in range(1, slices)], max(10 * slices, 10_000)).alias("m")
     ).first()["m"] or []
     cuts = [float("-inf"), *(sorted(set(marks)) or [0.0]), float("inf")]
     sliced = Bucketizer(splits=cuts, inputCol=order_by, outputCol="slice").transform(per_value)
@@ -123,7 +120,7 @@ def running_totals(df: DataFrame, order_by: str, totals: Mapping[str, Column], d
     order = F.col(order_by).desc() if descending else F.col(order_by)
     within = Window.partitionBy("slice").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        sliced.join(gather_small(before), "slice")
+        sliced.join(before, "slice")
         .select(
             order_by, *names,
             *[(F.sum(n).over(within) + F.col(f"before_{n}")).alias(f"cum_{n}") for n in names],

@@ -1,23 +1,9 @@
-"""Size-checked handling of small lookup sides."""
+"""Fitted numbers as plain rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row
 
-SMALL_ROWS = 10_000
-
-
-def gather_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """The same rows as a local relation when there are at most `max_rows`; otherwise `df` unchanged.
-
-    A local relation has an exact size, so Spark broadcasts it by its own threshold and a join on few distinct
-    keys does not shuffle the big side. A larger frame goes through the ordinary shuffled, skew-split join.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
 
 def one_row(df: DataFrame) -> Row:
     """The single row of a global aggregate: fitted numbers that become literals in later plans."""

@@ -44,11 +44,14 @@ def add_city_pair(df: DataFrame) -> DataFrame:
 
 # Distance quartiles ------------------------------------------------------------------------------------------------
 
-def fit_distance(train: DataFrame) -> list[float]:
-    return quantile_values(train, ["ride_distance_km"], [0.25, 0.75])["ride_distance_km"]
+def fit_distance(train: DataFrame) -> list[float] | None:
+    """Quartiles, or None (not fitted, the step is skipped) if no row has a distance."""
+    return quantile_values(train, ["ride_distance_km"], [0.25, 0.75]).get("ride_distance_km")
 
 
-def apply_distance(df: DataFrame, quartiles: Sequence[float]) -> DataFrame:
+def apply_distance(df: DataFrame, quartiles: Sequence[float] | None) -> DataFrame:
+    if quartiles is None:
+        return df
     short, long = quartiles
     km = F.col("ride_distance_km")
     return df.withColumns({
@@ -60,11 +63,14 @@ def apply_distance(df: DataFrame, quartiles: Sequence[float]) -> DataFrame:
 
 # High-cancel customers ---------------------------------------------------------------------------------------------
 
-def fit_high_cancel(train: DataFrame) -> float:
-    return quantile_values(train, ["cancellation_rate"], [0.75])["cancellation_rate"][0]
+def fit_high_cancel(train: DataFrame) -> float | None:
+    """The bound, or None (not fitted, the step is skipped) if no row has a rate."""
+    return quantile_values(train, ["cancellation_rate"], [0.75]).get("cancellation_rate", [None])[0]
 
 
-def apply_high_cancel(df: DataFrame, bound: float) -> DataFrame:
+def apply_high_cancel(df: DataFrame, bound: float | None) -> DataFrame:
+    if bound is None:
+        return df
     high = flag(F.col("cancellation_rate") > bound)
     return df.withColumns({
         "is_high_cancel_customer": high,
@@ -105,8 +111,10 @@ def apply_hotspots(df: DataFrame, hotspots: Sequence[str]) -> DataFrame:
 
 # Loyalty -----------------------------------------------------------------------------------------------------------
 
-def fit_tenure(train: DataFrame) -> float:
-    return float(one_row(train.agg(F.max("customer_signup_days_ago").alias("m")))["m"]) / 365
+def fit_tenure(train: DataFrame) -> float | None:
+    """The longest tenure in years, or None (not fitted, the step is skipped) if no row has one."""
+    longest = one_row(train.agg(F.max("customer_signup_days_ago").alias("m")))["m"]
+    return None if longest is None else float(longest) / 365
 
 
 def _loyalty(weighted: Column) -> Column:
@@ -151,11 +159,9 @@ def apply_scaler(df: DataFrame, scale: Mapping[str, Sequence[float]]) -> DataFra
 
 
 def fit_medians(train: DataFrame, columns: Sequence[str] | None = None) -> dict[str, float]:
-    """Exact medians of the columns that have a missing value somewhere in training, or of the named ones."""
+    """Exact medians of all numeric columns, or of the named ones: a gap may show first in test, new or streamed rows."""
     if columns is None:
-        candidates = numeric_columns(train)
-        row = one_row(train.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(str(i)) for i, c in enumerate(candidates)]))
-        columns = [c for i, c in enumerate(candidates) if row[str(i)]]
+        columns = [c for c in numeric_columns(train) if c != "booking_id"]
     if not columns:
         return {}
     return {c: q[0] for c, q in quantile_values(train, columns, [0.5]).items()}

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fareloom.functions.small import gather_small
-
 _HASH_DIGITS = 4  # leading hex digits that form the coarse slices: 65,536 of them
 
 
@@ -23,7 +21,8 @@ def mark_share(df: DataFrame, key: str, share: float, label: str | None = None,
     shows which slice holds the last chosen row of each class, and only that slice is ranked. The frame itself is
     then flagged by comparing with one cut point per class and is not shuffled.
     """
-    stratum = F.col(label) if label else F.lit(0)
+    # a missing class is a class, and joins only match values
+    stratum = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("missing")) if label else F.lit("all")
     marked = df.withColumns({"_stratum": stratum, "_draw": draw(key, seed)})
     slim = marked.select("_stratum", "_draw", F.col(key).alias("_key"),
                          F.substring("_draw", 1, _HASH_DIGITS).alias("_slice"))
@@ -37,12 +36,12 @@ def mark_share(df: DataFrame, key: str, share: float, label: str | None = None,
             "_want": F.floor(F.sum("_n").over(in_class) * F.lit(share) + 0.5),
         })
     )
-    last_slices = gather_small(
+    last_slices = (
         counted.filter((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
         .select("_stratum", "_slice", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_take"))
     )
     in_slice = Window.partitionBy("_stratum").orderBy("_draw", "_key")
-    cuts = gather_small(
+    cuts = (
         slim.join(last_slices, ["_stratum", "_slice"])
         .withColumn("_place", F.row_number().over(in_slice))
         .filter(F.col("_place") == F.col("_take"))
@@ -62,7 +61,10 @@ def drop_missing_target(df: DataFrame, target: str) -> DataFrame:
 
 
 def train_test(df: DataFrame, key: str, label: str | None = None, test_share: float = 0.2, seed: int = 42) -> DataFrame:
-    """Column `split` with 'train' or 'test'; with a label every class is split in the same proportion."""
+    """Column `split` with 'train' or 'test'; with a label every class is split in the same proportion.
+
+    Rows without a label are a class of their own.
+    """
     marked = mark_share(df, key, test_share, label, seed, "_test")
     return marked.withColumn("split", F.when(F.col("_test"), "test").otherwise("train")).drop("_test")
 

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fareloom.functions.small import gather_small
 from fareloom.operators import evaluation
 from fareloom.operators.splitting import mark_share
 
@@ -34,7 +33,7 @@ SEARCH_SPACE = {"maxIter": (75, 300), "maxDepth": (4, 7), "stepSize": (0.05, 0.2
                 "subsamplingRate": (0.7, 1.0, False), "minInstancesPerNode": (1, 50)}
 OVERSAMPLE_SHARE = 0.5
 NEIGHBOURS = 5
-MAX_SLICES = 4_096
+SLICE_ROWS = 5_000
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -54,7 +53,7 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 def with_class_weights(df: DataFrame, label: str, weights: Mapping[int, float] | None = None) -> DataFrame:
     """Column `weight`: the given weight of a row's class, or the balanced one."""
     if weights is None:
-        return df.join(gather_small(balanced_weights(df, label)), label)
+        return df.join(balanced_weights(df, label), label)
     steps: Column | None = None
     for value, weight in weights.items():
         hit = F.col(label) == value
@@ -74,7 +73,7 @@ def _neighbour_pairs(rows: DataFrame, key: str, features: Sequence[str], neighbo
     """
     generator = random.Random(seed)
     total = rows.count()
-    slices = min(max(1, total // 5_000), MAX_SLICES)
+    slices = max(1, -(-total // SLICE_ROWS))
     spread = F.xxhash64(F.col(key), F.lit(seed)).cast("double") / 2.0 ** 63 * 1e-9
     found: DataFrame | None = None
     packed = rows.select(key, F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("x"))
@@ -84,7 +83,7 @@ def _neighbour_pairs(rows: DataFrame, key: str, features: Sequence[str], neighbo
         line = packed.withColumn("_d", direction).select(
             key, "x", (F.col("_d") + spread * F.greatest(F.abs("_d"), F.lit(1.0))).alias("along"))
         cuts = sorted(set(line.agg(F.percentile_approx(
-            "along", [i / slices for i in range(1, slices)] or [0.5], 10_000).alias("c")).first()["c"] or []))
+            "along", [i / slices for i in range(1, slices)] or [0.5], max(10_000, 10 * slices)).alias("c")).first()["c"] or []))
         sliced = Bucketizer(splits=[float("-inf"), *(cuts or [0.0]), float("inf")], inputCol="along",
                             outputCol="slice").transform(line)
         order = Window.partitionBy("slice").orderBy("along", key)

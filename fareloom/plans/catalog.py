@@ -84,10 +84,15 @@ def _demand(t: StoredRideTables) -> DataFrame:
     return strategy.driver_demand(t.bookings, t.predictions)
 
 
+def _cities(t: StoredRideTables) -> list[str]:
+    """City names from their dimension: the columns of the grids."""
+    return t.kept("cities", lambda: sorted(r[0] for r in t.source("region").select("r_name").distinct().collect()))
+
+
 DASHBOARD: dict[str, Build] = {
     "j8_overview_rides": _overview_rides,
     "w1_cancel_heatmap_grid": lambda t: dashboard.cancel_heatmap_grid(analytics.cancel_heatmap(t.bookings)),
-    "w2_surge_grid": lambda t: dashboard.surge_grid(analytics.surge_by_hour_city(t.bookings)),
+    "w2_surge_grid": lambda t: dashboard.surge_grid(analytics.surge_by_hour_city(t.bookings), _cities(t)),
     "w3_cancel_rates_by_hour": lambda t: dashboard.cancel_rates_by_hour(analytics.cancel_probability_by_hour(t.predictions)),
     "w4_top_reasons": lambda t: dashboard.top_reasons(analytics.cancel_reasons(t.bookings)),
     "w5_weekend_table": lambda t: dashboard.weekend_table(analytics.weekend_comparison(t.bookings)),
@@ -101,8 +106,8 @@ DASHBOARD: dict[str, Build] = {
     "w11_requests_by_city_hour": lambda t: dashboard.requests_by_city_hour(t.location_demand),
     "w12_fare_by_vehicle": lambda t: dashboard.fare_by_vehicle(t.bookings),
     "w13_alert_counts": lambda t: dashboard.alert_counts(strategy.ops_alerts(t.predictions)),
-    "w14_demand_status_grid": lambda t: dashboard.demand_status_grid(_demand(t)),
-    "w15_risk_grid": lambda t: dashboard.risk_grid(_segments(t)),
+    "w14_demand_status_grid": lambda t: dashboard.demand_status_grid(_demand(t), _cities(t)),
+    "w15_risk_grid": lambda t: dashboard.risk_grid(_segments(t), _cities(t)),
     "w16_risk_volume": lambda t: dashboard.risk_volume(_segments(t)),
     "w17_worst_segments": lambda t: dashboard.worst_segments(_segments(t)),
     "w18_reassignment_kpis": lambda t: dashboard.reassignment_kpis(strategy.reassignment_candidates(t.predictions, t.drivers)),

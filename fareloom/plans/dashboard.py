@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from fareloom.functions.exprs import (
 )
 from fareloom.functions.measures import cancel_rate, mean, rides
 from fareloom.functions.quantiles import exact_quantiles
-from fareloom.functions.small import gather_small, one_row
+from fareloom.functions.small import one_row
 
 # Colour bands of the charts, highest first.
 CITY_RATE_BANDS = (("red", 30.0), ("amber", 20.0))
@@ -126,10 +128,10 @@ def cancel_heatmap_grid(cancel_heatmap: DataFrame) -> DataFrame:
     )
 
 
-def surge_grid(surge_by_hour_city: DataFrame) -> DataFrame:
-    """Hour by city; the city columns are the (few) values found, so the report is computed only once."""
+def surge_grid(surge_by_hour_city: DataFrame, cities: Sequence[str]) -> DataFrame:
+    """Hour by city; a column for each of the given cities."""
     return (
-        gather_small(surge_by_hour_city).groupBy("hour_of_day").pivot("city").avg("avg_surge").fillna(1.0).orderBy("hour_of_day")
+        surge_by_hour_city.groupBy("hour_of_day").pivot("city", list(cities)).avg("avg_surge").fillna(1.0).orderBy("hour_of_day")
     )
 
 
@@ -205,21 +207,21 @@ def alert_table(ops_alerts: DataFrame) -> DataFrame:
     )
 
 
-def demand_status_grid(driver_demand: DataFrame) -> DataFrame:
+def demand_status_grid(driver_demand: DataFrame, cities: Sequence[str]) -> DataFrame:
     """Hour by city as a status code 3..0; a slot without rides counts as 0."""
     load = F.coalesce(F.avg("rides_per_driver"), F.lit(0.0))
     (_, high), (_, lean), (_, balanced) = ALLOCATION_BOUNDS
     code = F.when(load >= high, 3).when(load >= lean, 2).when(load >= balanced, 1).otherwise(0)
     return (
-        gather_small(driver_demand).groupBy(hour_label(F.col("hour_of_day")).alias("hour")).pivot("city").agg(code)
+        driver_demand.groupBy(hour_label(F.col("hour_of_day")).alias("hour")).pivot("city", list(cities)).agg(code)
         .fillna(0).orderBy("hour")
     )
 
 
-def risk_grid(segments: DataFrame) -> DataFrame:
+def risk_grid(segments: DataFrame, cities: Sequence[str]) -> DataFrame:
     """Vehicle by city: the plain mean of the tier means."""
     return (
-        gather_small(segments).groupBy("vehicle_type").pivot("city").agg(round_stable(F.avg("avg_cancel_prob_pct"), 1))
+        segments.groupBy("vehicle_type").pivot("city", list(cities)).agg(round_stable(F.avg("avg_cancel_prob_pct"), 1))
         .orderBy("vehicle_type")
     )
 

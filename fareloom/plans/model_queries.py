@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,10 +85,11 @@ def _soundness(t: StoredRideTables) -> DataFrame:
 
 
 def _vehicle_rows(t: StoredRideTables) -> DataFrame:
-    return (
-        engineered(t).filter(F.col(engineering.VEHICLE).isin(*VEHICLE_TYPES))
-        .groupBy(F.col(engineering.VEHICLE).alias("vehicle_type")).agg(F.count(F.lit(1)).alias("rows"))
-    )
+    counts = [
+        rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name.split("_")[1]).alias("vehicle_type"), "rows")
+        for name, rows in usecases.vehicle_subsets(engineered(t)).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _split_report(t: StoredRideTables, use_case: str) -> DataFrame:

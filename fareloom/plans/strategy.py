@@ -10,7 +10,6 @@ from fareloom.functions.exprs import (
     first_reached, half_past_hour_before, percent, round_stable, safe_ratio, score_tier, steady,
 )
 from fareloom.functions.measures import cancel_rate, completion_rate, in_tier, mean, rides, with_status
-from fareloom.functions.small import gather_small
 
 # Alert texts in order of urgency.
 ALERT_LEVELS = (
@@ -129,7 +128,7 @@ def best_driver_per_booking(predictions: DataFrame, drivers: DataFrame, min_scor
     """Every booking to reassign with the single best driver of its city.
 
     The best driver is an aggregate (a maximum over score and id), so a city with most of the drivers combines
-    on the map side. One row per city remains, gathered so that the big side is not shuffled on the few cities.
+    on the map side. One row per city remains, which Spark broadcasts by its measured size.
     """
     columns = ["driver_id", "driver_rating", "acceptance_rate", "replacement_score"]
     best = (
@@ -138,7 +137,7 @@ def best_driver_per_booking(predictions: DataFrame, drivers: DataFrame, min_scor
         .agg(F.min_by(F.struct(*columns), F.struct(-F.col("replacement_score"), F.col("driver_id"))).alias("d"))
         .select("driver_city", "d.*")
     )
-    return _paired(_to_reassign(predictions), gather_small(best))
+    return _paired(_to_reassign(predictions), best)
 
 
 def driver_efficiency(bookings: DataFrame, min_rides: int = 5, limit: int = 300) -> DataFrame:

@@ -299,6 +299,19 @@ class StoredRideTables(RideTables):
             self._kept[name] = self._store(made, name) if isinstance(made, DataFrame) else made
         return self._kept[name]
 
+    # Sides of the booking join are stored as well: a stream joins each of its batches with them.
+    @cached_property
+    def order_legs(self) -> DataFrame:
+        return self._store(RideTables.order_legs.func(self), "order_legs")
+
+    @cached_property
+    def _rider_places(self) -> DataFrame:
+        return self._store(RideTables._rider_places.func(self), "rider_places")
+
+    @cached_property
+    def _driver_places(self) -> DataFrame:
+        return self._store(RideTables._driver_places.func(self), "driver_places")
+
     @cached_property
     def bookings(self) -> DataFrame:
         return self._store(RideTables.bookings.func(self), "bookings", even=True)

@@ -49,7 +49,8 @@ def settled(df: DataFrame, name: str = "settled", even: bool = False, folder: st
     With `even` the rows are rebalanced first. That is one more shuffle, for tables that many jobs scan: joins on
     hot keys or few large inputs would otherwise leave files of very different size.
     """
-    path = f"{folder}/{name}" if folder else scratch_path(df.sparkSession, name)
+    # A new name each time: a write that died half-way never stands in the way of the next attempt.
+    path = f"{folder}/{name}-{uuid.uuid4().hex}" if folder else scratch_path(df.sparkSession, name)
     (df.hint("rebalance") if even else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -7,12 +7,16 @@ from oracles.views import over, rs
 
 ALL_VIEWS = "bookings customers drivers time_features location_demand"
 
-CUSTOMER_SIDE = ("customer_gender customer_age customer_city customer_signup_days_ago preferred_vehicle_type "
-                 "total_bookings completed_rides cancelled_rides incomplete_rides cancellation_rate "
-                 "avg_customer_rating customer_cancel_flag").split()
-DRIVER_SIDE = ("driver_age driver_city driver_experience_years total_assigned_rides accepted_rides delay_count "
-               "acceptance_rate delay_rate avg_driver_rating avg_pickup_delay_min driver_delay_flag "
-               "experience_outlier_flag rejected_rides").split()
+CUSTOMER_SIDE = (
+    "customer_gender", "customer_age", "customer_city", "customer_signup_days_ago", "preferred_vehicle_type",
+    "total_bookings", "completed_rides", "cancelled_rides", "incomplete_rides", "cancellation_rate",
+    "avg_customer_rating", "customer_cancel_flag",
+)
+DRIVER_SIDE = (
+    "driver_age", "driver_city", "driver_experience_years", "total_assigned_rides", "accepted_rides", "delay_count",
+    "acceptance_rate", "delay_rate", "avg_driver_rating", "avg_pickup_delay_min", "driver_delay_flag",
+    "experience_outlier_flag", "rejected_rides",
+)
 
 RIDES = """
 rides AS (

@@ -22,13 +22,18 @@ def q(column: str, p: float) -> str:
     return f"quantile_cont({column}, {p})"
 
 
-SCALED = ("surge_multiplier estimated_ride_time_min acceptance_rate delay_rate avg_pickup_delay_min customer_age "
-          "customer_tenure_years customer_signup_days_ago fare_per_km fare_per_min demand_supply_ratio "
-          "cancel_to_booking_ratio cust_completion_rate rejection_rate delay_per_ride driver_incomplete_rate "
-          "location_surge_deviation surge_x_distance traffic_x_ridetime ride_distance_km base_fare").split()
-CORRELATED = ("ride_distance_km surge_multiplier base_fare estimated_ride_time_min customer_age customer_tenure_years "
-              "acceptance_rate delay_rate avg_driver_rating demand_supply_ratio loc_total_requests hour_sin hour_cos "
-              "is_night_ride peak_time_flag surge_x_distance").split()
+SCALED = (
+    "surge_multiplier", "estimated_ride_time_min", "acceptance_rate", "delay_rate", "avg_pickup_delay_min",
+    "customer_age", "customer_tenure_years", "customer_signup_days_ago", "fare_per_km", "fare_per_min",
+    "demand_supply_ratio", "cancel_to_booking_ratio", "cust_completion_rate", "rejection_rate", "delay_per_ride",
+    "driver_incomplete_rate", "location_surge_deviation", "surge_x_distance", "traffic_x_ridetime",
+    "ride_distance_km", "base_fare",
+)
+CORRELATED = (
+    "ride_distance_km", "surge_multiplier", "base_fare", "estimated_ride_time_min", "customer_age",
+    "customer_tenure_years", "acceptance_rate", "delay_rate", "avg_driver_rating", "demand_supply_ratio",
+    "loc_total_requests", "hour_sin", "hour_cos", "is_night_ride", "peak_time_flag", "surge_x_distance",
+)
 
 SHARES = ", ".join(f"""
 {c}_share AS (SELECT {c} AS v, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM pairs WHERE split = 'train') AS share

@@ -15,10 +15,12 @@ BOOKING_TYPES = {
     "surge_multiplier": "double", "base_fare": "double", "booking_value": "double",
     "estimated_ride_time_min": "double", "actual_ride_time_min": "double", "day_of_week": "string", "is_weekend": "int",
 }
-RAW_COLUMNS = ("booking_id booking_date booking_time city pickup_location drop_location vehicle_type traffic_level "
-               "weather_condition booking_status incomplete_ride_reason hour_of_day ride_distance_km "
-               "estimated_ride_time_min actual_ride_time_min base_fare surge_multiplier booking_value customer_id "
-               "driver_id").split()
+RAW_COLUMNS = (
+    "booking_id", "booking_date", "booking_time", "city", "pickup_location", "drop_location", "vehicle_type",
+    "traffic_level", "weather_condition", "booking_status", "incomplete_ride_reason", "hour_of_day",
+    "ride_distance_km", "estimated_ride_time_min", "actual_ride_time_min", "base_fare", "surge_multiplier",
+    "booking_value", "customer_id", "driver_id",
+)
 RAW_TEXT = RAW_COLUMNS[:11]
 
 

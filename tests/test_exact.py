@@ -10,7 +10,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from fareloom.functions.quantiles import exact_quantiles, running_totals
-from fareloom.functions.small import gather_small
 from fareloom.operators import evaluation, splitting
 
 PROBS = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -22,12 +21,12 @@ def sample(n, seed=7):
     return [0.25 if draw.random() < 1 / 3 else draw.lognormvariate(0, 2) for _ in range(n)]
 
 
-@pytest.mark.parametrize("n, bracket", [(n, 100_000) for n in (1, 2, 3, 4, 5, 1000)] + [(20_000, 0)])
-def test_quantiles_equal_numpy(spark, n, bracket):
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 1000, 20_000, 150_000])
+def test_quantiles_equal_numpy(spark, n):
     data = sample(n)
     df = spark.createDataFrame([(x, float(i)) for i, x in enumerate(data)], "x DOUBLE, i DOUBLE")
     got = {r["feature"]: [r[f"q{k}"] for k in range(len(PROBS))]
-           for r in exact_quantiles(df, ["x", "i"], PROBS, bracket_from_rows=bracket).collect()}
+           for r in exact_quantiles(df, ["x", "i"], PROBS).collect()}
     assert np.allclose(got["x"], np.quantile(data, PROBS), rtol=0, atol=1e-12)
     assert np.allclose(got["i"], np.quantile(np.arange(n, dtype=float), PROBS), rtol=0, atol=1e-9)
 
@@ -122,9 +121,3 @@ def test_unknown_ratios_are_zero(spark):
     df = spark.createDataFrame([(0, 0), (0, 0), (1, 0)], "label INT, prediction INT")
     found = evaluation.classification_metrics(df, positive=1).first()
     assert (found["precision"], found["recall"], found["f1"]) == (0.0, 0.0, 0.0)
-
-
-def test_gather_small_keeps_large_frames(spark):
-    df = spark.range(50)
-    assert gather_small(df, 10) is df
-    assert sorted(r[0] for r in gather_small(df, 50).collect()) == list(range(50))

@@ -42,6 +42,13 @@ def test_round_stable(spark):
         1.01, 0.29, 2.5, -0.12, None]
 
 
+def test_round_stable_keeps_what_has_no_digits(spark):
+    import math
+
+    nan, inf, low, big, edge = values(spark, [math.nan, math.inf, -math.inf, 1e15, 123456789.125], "DOUBLE", lambda x: exprs.round_stable(x, 6))
+    assert math.isnan(nan) and (inf, low, big, edge) == (math.inf, -math.inf, 1e15, 123456789.125)
+
+
 def test_tiers_and_actions(spark):
     rows = [0.70, 0.6999, 0.40, 0.3999, 0.0]
     tiers = values(spark, rows, "DOUBLE", exprs.risk_tier)

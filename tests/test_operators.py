@@ -58,8 +58,8 @@ def test_one_hot_drops_the_first_and_ignores_unknown(spark):
     fresh = spark.createDataFrame([(1, "c"), (2, "zzz"), (3, None)], "i INT, city STRING")
     hot = encoding.one_hot(fresh, cats).orderBy("i")
     assert hot.columns == ["i", "city_b", "city_c"] and [tuple(r)[1:] for r in hot.collect()] == [(0, 1), (0, 0), (0, 0)]
-    with pytest.raises(ValueError):
-        encoding.fit_categories(spark.range(1002).select(F.col("id").cast("string").alias("city")), ["city"])
+    many = spark.range(1500).select(F.format_string("c%04d", "id").alias("city"))
+    assert encoding.fit_categories(many, ["city"]) == {"city": [f"c{i:04d}" for i in range(1500)]}
 
 
 def test_tidy_names():
@@ -116,6 +116,29 @@ def test_medians_fill_and_default(spark):
         (1, 6.0, 0.0), (2, 4.0, 0.0), (3, 8.0, 0.0)]
 
 
+def test_medians_fill_gaps_that_training_has_not(spark):
+    train = spark.createDataFrame([(1, 4.0, 1), (2, 5.0, 3)], "booking_id INT, rating DOUBLE, k INT")
+    medians = fitted.fit_medians(train)
+    assert medians == {"rating": 4.5, "k": 2.0}
+    fresh = spark.createDataFrame([(9, None, None)], "booking_id INT, rating DOUBLE, k INT")
+    assert [tuple(r) for r in fitted.apply_medians(fresh, medians).collect()] == [(9, 4.5, 2.0)]
+
+
+def test_nothing_to_fit_skips_the_step(spark):
+    df = spark.createDataFrame([(1, None, None, None)], "booking_id INT, ride_distance_km DOUBLE, cancellation_rate DOUBLE, customer_signup_days_ago INT")
+    for frame in (df, df.filter("false")):
+        assert fitted.fit_distance(frame) is None and fitted.fit_high_cancel(frame) is None and fitted.fit_tenure(frame) is None
+    assert fitted.apply_distance(df, None) is df and fitted.apply_high_cancel(df, None) is df
+
+
+def test_rows_without_a_class_are_split_too(spark):
+    from fareloom.operators import splitting
+
+    df = spark.createDataFrame([(i, None if i < 10 else 1) for i in range(30)], "booking_id INT, y INT")
+    counts = {(r["y"], r["split"]): r["count"] for r in splitting.train_test(df, "booking_id", "y").groupBy("y", "split").count().collect()}
+    assert counts == {(None, "test"): 2, (None, "train"): 8, (1, "test"): 4, (1, "train"): 16}
+
+
 def test_constant_column_has_no_correlation_and_is_kept(spark):
     rows = [(float(i), float(2 * i), 1.0, float(i % 2), float(i % 2 if i < 38 else 1 - i % 2)) for i in range(40)]
     df = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, c DOUBLE, y DOUBLE, d DOUBLE")
