@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,18 +29,29 @@ def _keyed_by(t: RideTables, name: str, key: str) -> DataFrame:
     return quality.key_check(getattr(t, name), key)
 
 
+def _of_each_table(t: RideTables, report: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A report over the five tables and the raw bookings, one after another."""
+    parts = [report(df).withColumn("table_name", F.lit(name)) for name, df in {**five_tables(t), "raw_bookings": t.raw_bookings}.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _top_values(df: DataFrame) -> DataFrame:
+    """Of a table of bookings its categories, of another one every text column."""
+    bookings = "booking_status" in df.columns
+    return quality.top_values(df, [c for c in quality.BOOKING_CATEGORIES if c in df.columns] if bookings else None)
+
+
 ENTRIES: dict[str, Callable[[RideTables], DataFrame]] = {
     "d1_shapes": lambda t: quality.shapes(five_tables(t)),
-    "d2_column_info": lambda t: quality.column_info(t.bookings),
-    "d3_null_counts": lambda t: quality.null_counts(t.raw_bookings),
+    "d2_column_info": lambda t: _of_each_table(t, quality.column_info),
+    "d3_null_counts": lambda t: _of_each_table(t, quality.null_counts),
     "d4_duplicate_rows": lambda t: quality.duplicate_rows(t.raw_bookings),
     "d5_booking_key_check": lambda t: _keyed_by(t, "bookings", "booking_id"),
     "d5_raw_booking_key_check": lambda t: _keyed_by(t, "raw_bookings", "booking_id"),
     "d5_driver_key_check": lambda t: _keyed_by(t, "drivers", "driver_id"),
-    "d6_numeric_summary": lambda t: quality.numeric_summary(t.bookings),
-    "d7_categorical_summary": lambda t: quality.categorical_summary(t.raw_bookings),
-    "d8_top_values": lambda t: quality.top_values(
-        t.raw_bookings, [c for c in quality.BOOKING_CATEGORIES if c in t.raw_bookings.columns]),
+    "d6_numeric_summary": lambda t: _of_each_table(t, quality.numeric_summary),
+    "d7_categorical_summary": lambda t: _of_each_table(t, quality.categorical_summary),
+    "d8_top_values": lambda t: _of_each_table(t, _top_values),
     "d9_nulls_by_group": lambda t: quality.nulls_by_group(t.raw_bookings, "booking_status", "incomplete_ride_reason"),
     "d10_booking_value_check": lambda t: quality.booking_value_check(t.bookings),
     "d11_customer_age_check": lambda t: quality.age_check(t.customers, "customer_age", 18, 80),

@@ -22,6 +22,36 @@ RAW_COLUMNS = (
     "booking_value", "customer_id", "driver_id",
 )
 RAW_TEXT = RAW_COLUMNS[:11]
+TYPES = {
+    "bookings": BOOKING_TYPES,
+    "customers": {
+        "customer_id": "bigint", "customer_gender": "string", "customer_age": "int", "customer_city": "string",
+        "customer_signup_days_ago": "int", "preferred_vehicle_type": "string", "total_bookings": "bigint",
+        "completed_rides": "bigint", "cancelled_rides": "bigint", "incomplete_rides": "bigint",
+        "cancellation_rate": "double", "avg_customer_rating": "double", "customer_cancel_flag": "int",
+    },
+    "drivers": {
+        "driver_id": "bigint", "driver_age": "int", "driver_city": "string", "vehicle_type": "string",
+        "driver_experience_years": "int", "total_assigned_rides": "bigint", "accepted_rides": "bigint",
+        "rejected_rides": "bigint", "incomplete_rides": "bigint", "delay_count": "bigint",
+        "acceptance_rate": "double", "delay_rate": "double", "avg_driver_rating": "double",
+        "avg_pickup_delay_min": "double", "driver_delay_flag": "int", "experience_outlier_flag": "int",
+    },
+    "location_demand": {
+        "city": "string", "pickup_location": "string", "hour_of_day": "int", "vehicle_type": "string",
+        "total_requests": "bigint", "completed_rides": "bigint", "cancelled_rides": "bigint",
+        "avg_wait_time_min": "double", "avg_surge_multiplier": "double", "demand_level": "string",
+    },
+    "time_features": {
+        "datetime": "timestamp_ntz", "hour_of_day": "int", "day_of_week": "string", "is_weekend": "int",
+        "is_holiday": "int", "peak_time_flag": "int", "season": "string",
+    },
+    "raw_bookings": {
+        c: "string" if c in RAW_TEXT else "int" if c == "hour_of_day" else "bigint" if c in ("customer_id", "driver_id") else "double"
+        for c in RAW_COLUMNS
+    },
+}
+EVERY = " ".join(TYPES)
 
 
 def union(parts) -> str:
@@ -31,14 +61,14 @@ def union(parts) -> str:
 def summary(table: str, column: str, digits: int = 4) -> str:
     def q(p: float) -> str:
         return rs(f"quantile_cont(CAST({column} AS DOUBLE), {p})", digits)
-    return (f"SELECT '{column}' AS \"column\", count({column}) AS count, {rs(f'avg({column})', digits)} AS mean, "
+    return (f"SELECT '{table}' AS table_name, '{column}' AS \"column\", count({column}) AS count, {rs(f'avg({column})', digits)} AS mean, "
             f"{rs(f'stddev_samp({column})', digits)} AS std, CAST(min({column}) AS DOUBLE) AS min, "
             f"CAST(max({column}) AS DOUBLE) AS max, {q(0.25)} AS q25, {q(0.5)} AS q50, {q(0.75)} AS q75 FROM {table}")
 
 
 VALUE_COUNTS = "value_counts AS (" + union(
-    f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n FROM raw_bookings GROUP BY {c}"
-    for c in RAW_TEXT) + ")"
+    f"SELECT '{t}' AS table_name, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n FROM {t} GROUP BY {c}"
+    for t, kinds in TYPES.items() for c, k in kinds.items() if k == "string") + ")"
 
 
 def off(observed: str, expected: str, tolerance: str) -> str:
@@ -99,23 +129,25 @@ ALL_FIVE = " ".join(FIVE)
 STATEMENTS = {
     "d1_shapes": over(ALL_FIVE, union(
         f"SELECT '{n}' AS table_name, count(*) AS rows, {WIDTHS[n]} AS columns FROM {n}" for n in FIVE)),
-    "d2_column_info": over("bookings", union(
-        f"SELECT '{c}' AS \"column\", '{k}' AS dtype, count({c}) AS non_null FROM bookings" for c, k in BOOKING_TYPES.items())),
-    "d3_null_counts": over("raw_bookings", union(
-        f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls FROM raw_bookings" for c in RAW_COLUMNS)),
+    "d2_column_info": over(EVERY, union(
+        f"SELECT '{t}' AS table_name, '{c}' AS \"column\", '{k}' AS dtype, count({c}) AS non_null FROM {t}"
+        for t, kinds in TYPES.items() for c, k in kinds.items())),
+    "d3_null_counts": over(EVERY, union(
+        f"SELECT '{t}' AS table_name, '{c}' AS \"column\", count(*) - count({c}) AS nulls FROM {t}"
+        for t, kinds in TYPES.items() for c in kinds)),
     "d4_duplicate_rows": over("raw_bookings", """
 SELECT (SELECT count(*) FROM raw_bookings) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_bookings) t) AS duplicates"""),
     "d5_booking_key_check": key("bookings", "booking_id"),
     "d5_raw_booking_key_check": key("raw_bookings", "booking_id"),
     "d5_driver_key_check": key("drivers", "driver_id"),
-    "d6_numeric_summary": over("bookings", union(
-        summary("bookings", c) for c, k in BOOKING_TYPES.items() if k in ("bigint", "int", "double"))),
-    "d7_categorical_summary": over("raw_bookings", """
-SELECT "column", CAST(sum(n) AS BIGINT) AS count, count(*) AS "unique", first(value ORDER BY n DESC, value) AS top, max(n) AS freq
-FROM value_counts WHERE value IS NOT NULL GROUP BY "column" """, VALUE_COUNTS),
-    "d8_top_values": over("raw_bookings", """
-SELECT "column", value, n AS count, CAST(place AS INT) AS place FROM (
-  SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value NULLS LAST) AS place FROM value_counts) t
+    "d6_numeric_summary": over(EVERY, union(
+        summary(t, c) for t, kinds in TYPES.items() for c, k in kinds.items() if k in ("bigint", "int", "double"))),
+    "d7_categorical_summary": over(EVERY, """
+SELECT table_name, "column", CAST(sum(n) AS BIGINT) AS count, count(*) AS "unique", first(value ORDER BY n DESC, value) AS top, max(n) AS freq
+FROM value_counts WHERE value IS NOT NULL GROUP BY table_name, "column" """, VALUE_COUNTS),
+    "d8_top_values": over(EVERY, """
+SELECT table_name, "column", value, n AS count, CAST(place AS INT) AS place FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name, "column" ORDER BY n DESC, value NULLS LAST) AS place FROM value_counts) t
 WHERE place <= 10 AND "column" NOT IN ('booking_id', 'booking_date', 'booking_time')""", VALUE_COUNTS),
     "d9_nulls_by_group": over("raw_bookings", """
 SELECT booking_status, count(*) - count(incomplete_ride_reason) AS nulls FROM raw_bookings GROUP BY booking_status"""),
@@ -130,7 +162,7 @@ SELECT count(*) AS checked,
   count(*) FILTER (WHERE {off('acceptance_rate', rs('CAST(accepted_rides AS DOUBLE) / nullif(total_assigned_rides, 0)', 2), '1e-2')}) AS acceptance_failed,
   count(*) FILTER (WHERE {off('delay_rate', rs('CAST(delay_count AS DOUBLE) / nullif(total_assigned_rides, 0)', 2), '1e-2')}) AS delay_failed
 FROM drivers"""),
-    "d15_rejected_rides_check": over("drivers", summary("drivers", "rejected_rides", 2).replace(
+    "d15_rejected_rides_check": over("drivers", summary("drivers", "rejected_rides", 2).replace("'drivers' AS table_name, ", "").replace(
         " FROM drivers", ", count(*) FILTER (WHERE rejected_rides < 0) AS negative FROM drivers")),
     "d16_requests_check": failures("location_demand", "completed_rides + cancelled_rides > total_requests"),
     "d17_constant_check": over("time_features", """
