@@ -332,6 +332,31 @@ def _importance(t: StoredRideTables) -> DataFrame:
     return rows_from(t, [(i + 1, f, w) for i, (f, w) in enumerate(top)], "place INT, feature STRING, importance DOUBLE")
 
 
+VALIDATION_SHARE = 0.2
+
+
+def _validated_threshold(t: StoredRideTables, use_case: str) -> float:
+    """The threshold of the best learner, found on a part of the training rows that this fit has not seen."""
+    s, found = one_split(t, use_case), cancel_models(t) if use_case == "UC3" else delay_models(t)
+    marked = splitting.mark_share(s.train, usecases.KEY, VALIDATION_SHARE, s.target, seed=7, name="_held").withColumn(
+        "label", F.col(s.target).cast("double"))
+    seen = training.with_class_weights(marked.filter(~F.col("_held")).drop("_held"), "label")
+    model = training.fit(_quick_classifiers(2)[found.best], seen, s.features)
+    held = tables.settled(training.scored(model, marked.filter("_held")).select("label", "score"), "validation")
+    pick = evaluation.precision_threshold if use_case == "UC3" else evaluation.best_f1_threshold
+    return float(pick(held).first()["threshold"])
+
+
+def thresholds(t: StoredRideTables) -> dict[str, float]:
+    """Fitted once, stored, and loaded by every prediction; the cancellation threshold keeps to its safe range."""
+    def build() -> dict[str, float]:
+        path = tables.scratch_path(t.spark, "thresholds")
+        tables.save_json(t.spark, {"uc3_threshold": scoring.clamped(_validated_threshold(t, "UC3")),
+                                   "uc4_threshold": _validated_threshold(t, "UC4")}, path)
+        return tables.load_json(t.spark, path)
+    return t.kept("thresholds", build)
+
+
 def _prepared(t: StoredRideTables, use_case: str) -> DataFrame:
     s = one_split(t, use_case)
     return scoring.prepare(wide_of(t), categories(t), s.fitted, s.features)
@@ -346,20 +371,25 @@ def model_predictions(t: StoredRideTables) -> DataFrame:
             parts[v] = (fare_models(t, f"UC2_{v}").model, rows)
         fares = scoring.fare_predictions(parts)
         found = cancel_models(t)
-        s = one_split(t, "UC3")
-        tested = training.scored(found.model, s.test).withColumn("label", F.col(s.target))
-        bound = scoring.clamped(evaluation.precision_threshold(tested).first()["threshold"])
+        bound = thresholds(t)["uc3_threshold"]
         cancels = scoring.cancel_predictions(found.model, _prepared(t, "UC3"))
         scored = scoring.score_bookings(t.bookings, tables.settled(fares, "fares"), cancels)
         return scoring.build_predictions(scored, bound, t.location_demand)
     return t.kept("model predictions", build)
 
 
+def _predicted_fares(t: StoredRideTables) -> DataFrame:
+    """Fares of every vehicle type, each by its own model."""
+    return reduce(DataFrame.unionByName, [
+        scoring.predict(_prepared(t, f"UC2_{v}").filter(F.col(engineering.VEHICLE) == v), fare_models(t, f"UC2_{v}").model, f"UC2_{v}")
+        .withColumn("vehicle_type", F.lit(v)) for v in VEHICLE_TYPES])
+
+
 def _model_roundtrip(t: StoredRideTables) -> DataFrame:
     """Scores of a model that was stored and loaded again."""
     folder = tables.scratch_path(t.spark, "models")
     tables.save_model(cancel_models(t).model, folder, "uc3_final")
-    return scoring.predict(_prepared(t, "UC3"), tables.load_model(folder, "uc3_final"), "UC3", {"uc3_threshold": 0.6})
+    return scoring.predict(_prepared(t, "UC3"), tables.load_model(folder, "uc3_final"), "UC3", thresholds(t))
 
 
 def _split_roundtrip(t: StoredRideTables) -> DataFrame:
@@ -387,6 +417,8 @@ ENTRIES: dict[str, Build] = {
     "u6_tuning_subset": _tuning,
     "u7_split_uc1": lambda t: _split_report(t, "UC1"),
     "u7_split_uc2_cab": lambda t: _split_report(t, "UC2_Cab"),
+    "u7_split_uc2_auto": lambda t: _split_report(t, "UC2_Auto"),
+    "u7_split_uc2_bike": lambda t: _split_report(t, "UC2_Bike"),
     "u7_split_uc3": lambda t: _split_report(t, "UC3"),
     "u7_split_uc4": lambda t: _split_report(t, "UC4"),
     "z1_cap_experience": lambda t: fitted.cap_experience(derived(t)).select("booking_id", "driver_experience_years"),
@@ -422,9 +454,9 @@ ENTRIES: dict[str, Build] = {
     "p5_p6_predictions_table": _rule_table,
     "p7_prepared_rows": lambda t: _prepared(t, "UC3"),
     "p8_predict_outcome": lambda t: scoring.predict(_prepared(t, "UC1"), outcome_models(t).model, "UC1"),
-    "p8_predict_fare": lambda t: scoring.predict(_prepared(t, "UC2_Cab").filter(F.col(engineering.VEHICLE) == "Cab"),
-                                                 fare_models(t, "UC2_Cab").model, "UC2_Cab"),
-    "p8_predict_delay": lambda t: scoring.predict(_prepared(t, "UC4"), delay_models(t).model, "UC4"),
+    "p8_predict_fare": _predicted_fares,
+    "p8_predict_cancel": lambda t: scoring.predict(_prepared(t, "UC3"), cancel_models(t).model, "UC3", thresholds(t)),
+    "p8_predict_delay": lambda t: scoring.predict(_prepared(t, "UC4"), delay_models(t).model, "UC4", thresholds(t)),
     "m3_balanced_weights": _weights,
     "m4_oversampled": _oversampled,
     "m4_train_equalised": _equalised,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fareloom.functions.exprs import recommended_action, risk_tier, weekday_name
 from fareloom.sources import schemas
-from fareloom.sources.tables import path_exists, scratch_path, settled
+from fareloom.sources.tables import drop_path, path_exists, scratch_path, settled
 
 
 def _count(condition) -> F.Column:
@@ -351,4 +351,6 @@ def stored_ride_tables(spark: SparkSession, folder: str) -> StoredRideTables:
 
 def forget_stored(spark: SparkSession, folder: str) -> None:
     """Have the tables of a folder derived anew at the next use, after its sources have changed."""
-    _stored.pop((spark.sparkContext.applicationId, folder), None)
+    known = _stored.pop((spark.sparkContext.applicationId, folder), None)
+    if known is not None:
+        drop_path(spark, known.root)

@@ -34,8 +34,27 @@ def scratch_root(spark: SparkSession) -> str:
     return f"file://{_local_scratch}"
 
 
+_scratch: dict[str, set[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new place for an intermediate table; it belongs to the application until `drop_path` or `clear_scratch`."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    _scratch.get(spark.sparkContext.applicationId, set()).discard(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application. Frames that read them are of no use afterwards."""
+    for path in list(_scratch.get(spark.sparkContext.applicationId, ())):
+        drop_path(spark, path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

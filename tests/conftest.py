@@ -22,6 +22,9 @@ def spark():
                             spark__checkpoint__dir=tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     session.sparkContext.setLogLevel("OFF")
     yield session
+    from fareloom.sources.tables import clear_scratch
+
+    clear_scratch(session)
     session.stop()
 
 

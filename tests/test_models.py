@@ -117,3 +117,14 @@ def test_predictions_of_every_kind(tables):
     assert len(bound) == 1 and 0.55 <= bound[0][0] <= 0.70
     outcome = scoring.predict(models._prepared(tables, "UC1"), models.outcome_models(tables).model, "UC1")
     assert {r[0] for r in outcome.select("label").distinct().collect()} <= set(scoring.OUTCOME_LABELS.values())
+    shares = outcome.select(*[F.col(n) for n in scoring.OUTCOME_LABELS.values()])
+    assert shares.filter(F.abs(F.col("Completed") + F.col("Cancelled") + F.col("Incomplete") - 1) > 2e-4).count() == 0
+
+
+def test_thresholds_come_from_held_training_rows_and_are_stored(tables):
+    bounds = models.thresholds(tables)
+    assert 0.55 <= bounds["uc3_threshold"] <= 0.70 and 0 < bounds["uc4_threshold"] < 1
+    cancels = models.ENTRIES["p8_predict_cancel"](tables)
+    assert [r[0] for r in cancels.select("threshold").distinct().collect()] == [bounds["uc3_threshold"]]
+    fares = models.ENTRIES["p8_predict_fare"](tables)
+    assert fares.count() == tables.bookings.count() and fares.select("vehicle_type").distinct().count() == 3
