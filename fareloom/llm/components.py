@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.frames import stored
+from fareloom.llm.frames import stored_at
+from fareloom.sources.tables import drop_path
 
 
 def components(edges: DataFrame, left: str, right: str, name: str = "components") -> DataFrame:
@@ -17,10 +18,12 @@ def components(edges: DataFrame, left: str, right: str, name: str = "components"
     engine can split it; minima are combined before the shuffle. No edges give no rows.
     """
     pairs = edges.select(F.greatest(left, right).alias("high"), F.least(left, right).alias("low")).where("high > low").distinct()
-    now = stored(pairs, name)
+    now, place = stored_at(pairs, name)
     seen = _signature(now)
     while True:
-        now = stored(_small_star(_large_star(now)), name)
+        before = place
+        now, place = stored_at(_small_star(_large_star(now)), name)
+        drop_path(now.sparkSession, before)  # the new table stands on its own
         after = _signature(now)
         if after == seen:
             return now.select(F.col("high").alias("node"), F.col("low").alias("component")).unionByName(

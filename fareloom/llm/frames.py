@@ -41,11 +41,16 @@ def python_tasks(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         _shipped.add(application)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame written once to the shared folder and read back: its work is never repeated, whatever executors go."""
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The frame written once to the shared folder and read back, and its place (see `drop_path`, `clear_scratch`)."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once to the shared folder and read back: its work is never repeated, whatever executors go."""
+    return stored_at(df, name)[0]
 
 
 def text_column(name: str = "text") -> Column:
