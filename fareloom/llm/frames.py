@@ -53,6 +53,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return stored_at(df, name)[0]
 
 
+def numbered(rows: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with columns in_0, in_1, ..., and the new name of each: names of further columns then cannot clash."""
+    return rows.toDF(*[f"in_{i}" for i in range(len(rows.columns))]), {c: f"in_{i}" for i, c in enumerate(rows.columns)}
+
+
 def text_column(name: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(name), F.lit(""))

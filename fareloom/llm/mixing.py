@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.llm.frames import stored, text_column
+from fareloom.llm.frames import numbered, stored, text_column
 
 WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS = 1024
@@ -92,6 +92,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """
     drawn = mixed_copies(docs, **settings).groupBy(F.col("doc_id").alias("d_id"), F.col("source").alias("d_source"), F.col("size").alias("d_size")) \
         .agg(F.round(F.avg("copies")).cast("int").alias("d_copies")).where("d_copies > 0")
-    measured = docs.withColumn("d_words", word_count())
-    joined = measured.join(drawn, F.col("doc_id").eqNullSafe(F.col("d_id")) & F.col("source").eqNullSafe(F.col("d_source")) & (F.col("d_words") == F.col("d_size")))
-    return joined.withColumn("d_copy", F.explode(F.sequence(F.lit(1), F.col("d_copies")))).select(*[docs[c] for c in docs.columns])
+    rows, at = numbered(docs)
+    same = F.col(at["doc_id"]).eqNullSafe(F.col("d_id")) & F.col(at["source"]).eqNullSafe(F.col("d_source")) & (F.col("d_words") == F.col("d_size"))
+    taken = rows.withColumn("d_words", word_count(at["text"])).join(drawn, same)
+    return taken.withColumn("d_copy", F.explode(F.sequence(F.lit(1), F.col("d_copies")))).select(*[F.col(at[c]).alias(c) for c in docs.columns])

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.frames import text_column
+from fareloom.llm.frames import numbered, text_column
 from fareloom.llm.spans import by_start, kept, located, named, written
 
 # The forms of the base scan.
@@ -108,15 +108,16 @@ def secret_report(docs: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """`docs` with the text of all spans replaced by a mark; overlapping spans become one. A null text stays null."""
-    found = scanned(docs)
+    rows, at = numbered(docs)
+    found, content = scanned(rows, at["text"]), F.col(at["text"])
 
     def step(state: Column, span: Column) -> Column:
         fresh = span["start"] >= state["at"]
-        text = F.when(fresh, F.concat(state["text"], F.substring(F.col("text"), state["at"] + 1, span["start"] - state["at"]), F.lit(mark))).otherwise(state["text"])
+        text = F.when(fresh, F.concat(state["text"], F.substring(content, state["at"] + 1, span["start"] - state["at"]), F.lit(mark))).otherwise(state["text"])
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"), text.alias("text"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
     clean = F.aggregate(F.col("secrets.all_spans"), start, step,
-                        lambda s: F.concat(s["text"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))))
-    text = F.when(F.size("secrets.all_spans") > 0, clean).otherwise(F.col("text"))
-    return found.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+                        lambda s: F.concat(s["text"], F.substring(content, s["at"] + 1, F.length(content))))
+    text = F.when(F.size("secrets.all_spans") > 0, clean).otherwise(content)
+    return found.select(*[(text if c == "text" else F.col(at[c])).alias(c) for c in docs.columns])
