@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,16 +77,16 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         if not batch.num_rows:
             continue
         part = pa.Table.from_batches([batch])
-        columns = [part.column(k).to_pylist() for k in keys]
-        rows = list(zip(*columns))
-        start = 0
-        for i in range(1, len(rows) + 1):
-            if i == len(rows) or rows[i] != rows[start]:
-                if held and rows[start] != held_key:
-                    yield pa.concat_tables(held)
-                    held = []
-                held_key = rows[start]
-                held.append(part.slice(start, i - start))
-                start = i
+        columns = [part.column(k).to_numpy() for k in keys]
+        new = np.ones(len(part), bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        starts = np.flatnonzero(new)
+        for start, end in zip(starts, np.append(starts[1:], len(part))):
+            key = tuple(c[start] for c in columns)
+            if held and key != held_key:
+                yield pa.concat_tables(held)
+                held = []
+            held_key = key
+            held.append(part.slice(start, end - start))
     if held:
         yield pa.concat_tables(held)

@@ -38,6 +38,7 @@ from fareloom.llm.vectors import matrix, sample, usable
 
 SAMPLE_ROWS = 5_000
 TILE = 1_024
+CANDIDATES = 65_536  # pairs verified at once
 
 
 class Subspaces:
@@ -100,8 +101,10 @@ def compared(group: pa.Table, spaces: Subspaces, cosine: float) -> tuple[np.ndar
     home = np.stack([group.column("home_1").to_numpy(), group.column("home_2").to_numpy()], axis=1)
     unit = matrix(group.column("vector"))
     rotated = unit @ spaces.rotation
-    own = np.ascontiguousarray(rotated[:, spaces.members[block]], dtype=np.float32)
-    square = (own * own).sum(axis=1)
+    own = rotated[:, spaces.members[block]]
+    square, one = (own * own).sum(axis=1, keepdims=True), np.ones((len(own), 1))
+    # squared distances as one product: (a, |a|^2, 1) (-2 b, 1, |b|^2)
+    rows_of, columns_of = (np.hstack(c).astype(np.float32) for c in ((own, square, one), (-2 * own, one, square)))
     limit = np.float32(spaces.budget[block] + 1e-5)
     left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
     count = np.zeros(len(node), np.int64)
@@ -114,10 +117,10 @@ def compared(group: pa.Table, spaces: Subspaces, cosine: float) -> tuple[np.ndar
         rows = left[at:at + TILE]
         for across in range(at if low == high else 0, len(right), 8 * TILE):
             columns = right[across:across + 8 * TILE]
-            near = square[rows][:, None] + square[columns][None, :] - 2 * (own[rows] @ own[columns].T) <= limit
-            for begin in range(0, len(rows), 64):  # few rows at a time: in a dense cell all pairs are candidates
-                i, j = np.nonzero(near[begin:begin + 64])
-                i, j = rows[begin + i], columns[j]
+            near = np.flatnonzero((rows_of[rows] @ columns_of[columns].T).ravel() <= limit)
+            for begin in range(0, len(near), CANDIDATES):  # in a dense cell all pairs are candidates
+                i, j = np.divmod(near[begin:begin + CANDIDATES], len(columns))
+                i, j = rows[i], columns[j]
                 keep = node[i] != node[j]
                 if low == high:
                     keep &= i < j
