@@ -148,7 +148,7 @@ def compared(group: pa.Table, spaces: Subspaces, cosine: float) -> tuple[np.ndar
     return node[linked], count[linked], node[order[[forest.root(int(place[x])) for x in linked]]] if len(linked) else node[linked]
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.95, blocks: int = 8, part: int = 16_384) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = 0.95, blocks: int = 4, part: int = 16_384) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row of `vectors`."""
     python_tasks(vectors.sparkSession, 4096)
     numbers = stored(usable(vectors), "vector-dedup-rows")
