@@ -108,7 +108,7 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Places where a text can be cut without changing its tokens.
 
     A blank or line break that follows a character other than white space always opens a token, and so does a
-    character other than white space after a line break. Only characters known not to be white space count: ASCII from
+    character other than white space after a single line break. Only characters known not to be white space count: ASCII from
     0x21 to 0x7E and two-byte characters from U+00C0 on.
     """
     ascii_solid = (data > 0x20) & (data < 0x7F)
@@ -117,8 +117,10 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     known_end[1:] |= lead[:-1] & (data[1:] >= 0x80) & (data[1:] < 0xC0)
     cut = np.zeros(len(data), bool)
     cut[1:] = ((data[1:] == 0x20) | (data[1:] == 0x0A)) & known_end[:-1]
-    cut[1:] |= (data[:-1] == 0x0A) & (ascii_solid[1:] | lead[1:])
     cut[offsets[:-1][offsets[:-1] < len(data)]] = True
+    # only after a line break that is a run of white space of its own: longer runs are split by what follows them
+    alone = cut & (data == 0x0A)
+    cut[1:] |= alone[:-1] & (ascii_solid[1:] | lead[1:])
     return np.flatnonzero(cut)
 
 
