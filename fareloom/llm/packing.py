@@ -14,7 +14,6 @@ empty table gives no rows. Columns other than doc_id and text are not read. Text
 
 from __future__ import annotations
 
-import base64
 import json
 import zlib
 from collections.abc import Iterator
