@@ -6,6 +6,8 @@
    R = m a + b bits (b < m), then one of the first b + 1 substrings differs in at most a bits or one of the others in at most
    a - 1, so that probing these buckets finds every code within the Hamming radius.
 3. Codes within the radius are ranked by their exact distance in double precision.
+4. Queries that got fewer than k rows from all blocks lie where codes are sparse: one radius for all is too small there, and how
+   much larger it must be is not known. They are searched again without a radius, so that they get their true neighbours.
 
 The radius is learned too: a bounded number of vectors is searched exactly, and the radius is the `reach` quantile of the
 Hamming distances to their true neighbours. Where vectors have structure this is small and few buckets are probed; where all
@@ -15,7 +17,7 @@ Queries and candidates are dealt into blocks; each task indexes one block of can
 queries in it, and gives out the best of each query. Every row is indexed. Blocks have a bounded number of rows.
 
 Defined results: vectors that cannot be compared (see vectors.usable) take no part; equal rows of one id are one
-candidate; ties go to the smaller id; a query with fewer candidates gets them all, without a radius; an empty table gives
+candidate; ties go to the smaller id; every query gets k rows, or all its candidates if there are fewer; an empty table gives
 no rows. Columns other than the id and the vector are not read.
 """
 
@@ -147,33 +149,47 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, bits: int = 64, re
     codes = learned_codes(rows, bits)
     radius = learned_radius(numbers, codes, rows, k, reach)
     is_query = F.pmod("node", F.lit(every)) == 0
+    queries = numbers.where(is_query)
     total = numbers.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).first()
-    query_blocks, blocks = max(1, -(-total.q // query_block)), max(1, -(-total.n // candidate_block))
+    blocks = max(1, -(-total.n // candidate_block))
     deal = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(n)).cast("int")
-    asked = numbers.where(is_query).select(
-        deal(query_blocks, 1).alias("asked"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("query"), "node", "vector")
-    held = numbers.select(
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("asked"), deal(blocks, 2).alias("block"), F.lit(False).alias("query"), "node", "vector")
     keys = ["asked", "block"]
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, keys):
-            query = group.column("query").to_numpy().astype(bool)
-            node, values = group.column("node").to_numpy(), matrix(group.column("vector"))
-            candidates, candidate_nodes = values[~query], node[~query]
-            if not len(candidates):
-                continue
-            index = SubstringIndex(codes.of(candidates))
-            asked_codes = codes.of(values[query])
-            out: list[tuple[np.ndarray, ...]] = []
-            for own, vector, code in zip(node[query], values[query], asked_codes):
-                found = index.within(code, radius) if total.n > 4 * k else np.arange(len(candidates))
-                found = found[candidate_nodes[found] != own]
-                ids, distance = nearest(vector, candidates[found], candidate_nodes[found], k)
-                out.append((np.full(len(ids), own), ids, distance))
-            if out:
+    def found(some: DataFrame, count: int, within: int | None) -> DataFrame:
+        """The k best of each of `count` queries, among codes within a radius or among all."""
+        query_blocks = max(1, -(-count // query_block))
+        asked = some.select(
+            deal(query_blocks, 1).alias("asked"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("query"), "node", "vector")
+        held = numbers.select(
+            F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("asked"), deal(blocks, 2).alias("block"), F.lit(False).alias("query"), "node", "vector")
+
+        def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for group in runs(batches, keys):
+                query = group.column("query").to_numpy().astype(bool)
+                node, values = group.column("node").to_numpy(), matrix(group.column("vector"))
+                candidates, candidate_nodes = values[~query], node[~query]
+                if not len(candidates) or not query.any():
+                    continue
+                index = None if within is None else SubstringIndex(codes.of(candidates))
+                asked_codes = codes.of(values[query])
+                out: list[tuple[np.ndarray, ...]] = []
+                for own, vector, code in zip(node[query], values[query], asked_codes):
+                    near = np.arange(len(candidates)) if index is None else index.within(code, within)
+                    near = near[candidate_nodes[near] != own]
+                    ids, distance = nearest(vector, candidates[near], candidate_nodes[near], k)
+                    out.append((np.full(len(ids), own), ids, distance))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query_id", "vec_id", "score"])
 
-    found = asked.unionByName(held).repartition(*[F.col(c) for c in keys]).sortWithinPartitions(*keys).mapInArrow(answer, shape)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        rows = asked.unionByName(held).repartition(*[F.col(c) for c in keys]).sortWithinPartitions(*keys).mapInArrow(answer, shape)
+        order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    if total.n <= 4 * k:
+        return found(queries, total.q, None)
+    first = stored(found(queries, total.q, radius), "neighbour-first")
+    full = first.where(F.col("rank") == k).select("query_id")
+    short = stored(queries.join(full, queries["node"] == full["query_id"], "left_anti"), "neighbour-short")
+    left = short.count()
+    if not left:
+        return first
+    return first.join(full, "query_id", "left_semi").select(first.columns).unionByName(found(short, left, None))

@@ -76,6 +76,22 @@ def test_recall_order_and_scores(vectors):
         assert all(r.score == np.sqrt(((np.array(rows[r.vec_id][1], np.float32).astype(float) - a) ** 2).sum()) for r in found)
 
 
+def test_sparse_regions_get_k_rows(vectors):
+    """Tight groups teach a small radius; queries far from all of them still get their true neighbours."""
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((60, 32))
+    rows = [(i, (centres[i % 60] + 0.001 * rng.standard_normal(32)).astype(np.float32).tolist()) for i in range(60 * 49) if i % 100]
+    lone = [(100 * i, (3 * rng.standard_normal(32)).astype(np.float32).tolist()) for i in range(8)]
+    grouped = [(100 * i, (centres[i] + 0.001 * rng.standard_normal(32)).astype(np.float32).tolist()) for i in range(8, 29)]
+    rows += lone + grouped
+    got = collections.defaultdict(list)
+    for r in sorted(neighbours.search(vectors(rows), candidate_block=1_000, query_block=5).collect(), key=lambda r: (r.query_id, r["rank"])):
+        got[r.query_id].append(r.vec_id)
+    truth = brute_nearest(rows, 100, 10)
+    assert {q: len(f) for q, f in got.items()} == {q: min(10, len(rows) - 1) for q in truth}
+    assert all(got[q] == truth[q] for q, _ in lone)
+
+
 def test_few_and_equal_candidates(vectors):
     rows = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (3, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0])]
     got = sorted((r.query_id, r["rank"], r.vec_id) for r in neighbours.search(vectors(rows)).collect())
