@@ -6,9 +6,12 @@ around it. Counts of the runs' n-grams of a bounded training sample are summed b
 the hashes of all n-grams in a sorted array beside the log-probabilities of every language, and likewise the
 contexts with their back-off weights. The predicted language has the lowest cross-entropy per character.
 
-Rejection is calibrated on training rows that were not counted: a text is rejected if its cross-entropy exceeds its
-language's mean by more than `slack` times the most that any calibration text did, in units of the standard error, which
-sinks with the root of the text's length.
+Rejection is calibrated on all training rows that were not counted, by language and length class (powers of two): a text is
+rejected if its cross-entropy exceeds the class's median by more than `slack` times what the TAIL quantile does. Long texts
+form one class, because their scatter stops shrinking: what they differ in lasts. Quantiles come from counts of narrow
+bins, so that they are the same whatever the partitioning. A class of fewer than ENOUGH rows takes its bound from the nearest
+shorter class, else from the nearest longer one, widened as the root of the length; a language without any such class
+rejects only texts without letters.
 
 Defined results: a text that is null or has no letter is `und` with score 0 and rejected; ties go to the language first
 by code point; rows without a language or an id do not train; without training rows every text is `und`; repeated rows
@@ -32,7 +35,11 @@ from fareloom.llm.frames import python_tasks, stored, text_column
 from fareloom.llm.words import mixed
 
 ORDER = 5
-SAMPLE_DOCUMENTS = 900  # training texts per language, about; a third of them calibrates
+SAMPLE_DOCUMENTS = 900  # training texts per language, about, of which two thirds are counted; all other rows calibrate
+TAIL = 0.999
+ENOUGH = 50
+LONG = 10  # log2 of the characters from which on texts form one class
+BIN = 0.005  # nats a character
 UNKNOWN = "und"
 _MARK = "\n"
 _STEP = np.uint64(0xA24BAED4963EE407)
@@ -200,39 +207,77 @@ def scored_texts(texts: pa.Array, model: LanguageModel) -> tuple[np.ndarray, np.
     return -total / np.maximum(characters, 1)[:, None], characters
 
 
+def length_class(characters: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(characters, 1)).astype(np.int64), LONG)
+
+
 @dataclass
 class Calibration:
-    mean: np.ndarray
-    most: np.ndarray  # largest standardised excess of any calibration text, by language
+    """Median and tail of the cross-entropy, by language and length class."""
+
+    middle: np.ndarray
+    width: np.ndarray  # from the median to the TAIL quantile; infinite where nothing is known
 
     def rejects(self, entropy: np.ndarray, language: np.ndarray, characters: np.ndarray, slack: float) -> np.ndarray:
-        return (entropy - self.mean[language]) * np.sqrt(characters) > slack * self.most[language]
-
-
-def calibrated(sample: DataFrame, model: LanguageModel) -> Calibration:
-    """Means and largest excess over the calibration rows, which are part of the bounded sample."""
-    mean, most = np.zeros(len(model.languages)), np.full(len(model.languages), np.inf)
-    rows = sample.select("lang", "text").toArrow()
-    entropy, characters = scored_texts(rows.column("text").combine_chunks(), model)
-    truth = np.array([model.languages.index(x) if x in model.languages else -1 for x in rows.column("lang").to_pylist()], int)
-    for k in range(len(model.languages)):
-        own = (truth == k) & (characters > 0)
-        if own.any():
-            mean[k] = np.average(entropy[own, k], weights=characters[own])
-            most[k] = max(((entropy[own, k] - mean[k]) * np.sqrt(characters[own])).max(), 1.0)
-    return Calibration(mean, most)
-
-
-def training_sample(docs: DataFrame, trains: Column, documents: int) -> DataFrame:
-    """doc_id, lang, text and part of about `documents` rows per language, chosen by the hash of the id."""
-    narrow = docs.where(trains & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
+        at = length_class(characters)
+        return entropy - self.middle[language, at] > slack * self.width[language, at]
+
+
+def fitted_calibration(counts: dict[tuple[int, int], dict[int, int]], languages: int) -> Calibration:
+    """From the rows of each bin, by language and length class."""
+    middle, width = np.zeros((languages, LONG + 1)), np.full((languages, LONG + 1), np.inf)
+    for k in range(languages):
+        known = []
+        for at in range(LONG + 1):
+            bins = sorted(counts.get((k, at), {}).items())
+            running = np.cumsum([n for _, n in bins])
+            if len(bins) and running[-1] >= ENOUGH:
+                half, tail = (bins[int(np.searchsorted(running, q * running[-1]))][0] for q in (0.5, TAIL))
+                middle[k, at], width[k, at] = half * BIN, (tail - half + 1) * BIN
+                known.append(at)
+        for at in range(LONG + 1) if known else ():
+            shorter = [j for j in known if j <= at]
+            near = shorter[-1] if shorter else known[0]
+            middle[k, at], width[k, at] = middle[k, near], width[k, near] * 2 ** (max(near - at, 0) / 2)
+    return Calibration(middle, width)
+
+
+def calibrated(held: DataFrame, model: LanguageModel) -> Calibration:
+    """From all rows of `held`; only counts by language, length class and bin come to the driver."""
+    shared = held.sparkSession.sparkContext.broadcast(model)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        index = {x: k for k, x in enumerate(own.languages)}
+        for batch in batches:
+            entropy, characters = scored_texts(batch.column(1), own)
+            truth = np.array([index.get(x, -1) for x in batch.column(0).to_pylist()], np.int64)
+            some = np.flatnonzero((truth >= 0) & (characters > 0))
+            bins = np.floor(entropy[some, truth[some]] / BIN)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x.astype(np.int32)) for x in (truth[some], length_class(characters[some]), bins)], ["language", "length", "bin"])
+
+    counts: dict[tuple[int, int], dict[int, int]] = defaultdict(dict)
+    rows = held.select("lang", "text").mapInArrow(measured, "language int, length int, bin int")
+    for r in rows.groupBy("language", "length", "bin").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r.language, r.length][r.bin] = r.n
+    return fitted_calibration(counts, len(model.languages))
+
+
+def training_rows(docs: DataFrame, trains: Column, documents: int) -> tuple[DataFrame, DataFrame]:
+    """lang and text of the rows to count, two thirds of about `documents` per language chosen by the hash of the id, and of all others."""
+    rows = docs.where(trains & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    narrow = rows.select("doc_id", "lang")
     counts = narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))  # one row per language
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20))
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3))
     chosen = stored(
-        narrow.join(counts, "lang").where(draw < F.lit(documents * (1 << 20)) / F.col("rows")).select("doc_id", "lang").distinct(), "language-ids")
+        narrow.where(part < 2).join(counts, "lang").where(draw < F.lit(documents * (1 << 20)) / F.col("rows")).select("doc_id", "lang").distinct(),
+        "language-ids")
     # about `documents` ids per language: small whatever the input
-    return docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).withColumn(
-        "part", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)))
+    texts = rows.select("doc_id", "lang", "text")
+    counted = stored(texts.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text"), "language-sample")
+    return counted, texts.join(F.broadcast(chosen), ["doc_id", "lang"], "left_anti").select("lang", "text")
 
 
 def identified(docs: DataFrame, trains: Column | None = None, order: int = ORDER, documents: int = SAMPLE_DOCUMENTS, slack: float = 3.0) -> DataFrame:
@@ -241,9 +286,9 @@ def identified(docs: DataFrame, trains: Column | None = None, order: int = ORDER
 
 
 def _model(docs: DataFrame, trains: Column | None, order: int, documents: int) -> tuple[LanguageModel | None, Calibration | None]:
-    sample = stored(training_sample(docs, F.lit(True) if trains is None else trains, documents), "language-sample")
-    model = trained_model(gram_counts(sample.where("part < 2"), order), order)
-    return model, calibrated(sample.where("part = 2"), model) if model else None
+    counted, held = training_rows(docs, F.lit(True) if trains is None else trains, documents)
+    model = trained_model(gram_counts(counted, order), order)
+    return model, calibrated(held, model) if model else None
 
 
 def _predicted(docs: DataFrame, kept: list[str], trains: Column | None, order: int, documents: int, slack: float) -> DataFrame:

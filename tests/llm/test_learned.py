@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +22,26 @@ def test_language_held_out_accuracy(spark):
     assert np.mean([r.rejected for r in rows]) < 0.01
 
 
+def test_very_long_clean_texts_stay(spark):
+    """A text repeated many times deviates as the text does; gibberish of any length goes."""
+    docs = table(spark, FIVE, "documents")
+    clean = docs.join(table(spark, FIVE, "labels").where("quality = 1"), "doc_id").where("length(text) between 1500 and 6000").orderBy("doc_id")
+    texts = [r.text for r in clean.limit(120).collect()]
+    model, calibration = langid._model(docs, crc_remainder(3) != 1, langid.ORDER, langid.SAMPLE_DOCUMENTS)
+    once, often = (langid.predictions(pa.array([(t + "\n") * n for t in texts]), model, calibration, 3.0)[2] for n in (1, 200))
+    assert not once.any() and not often.any()
+    noise = ["".join(np.random.default_rng(i).choice(list("qxzjkvwy "), 1_000 * i)) for i in (1, 3, 30)]
+    assert langid.predictions(pa.array(noise), model, calibration, 3.0)[2].all()
+
+
+def test_calibration_takes_all_rows_and_stops_narrowing():
+    counts = {(0, 7): {300: 80, 340: 20}, (0, 10): {300: 9_000, 310: 995, 900: 5}, (1, 9): {300: langid.ENOUGH - 1}}
+    found = langid.fitted_calibration(counts, 2)
+    assert found.width[0, 10] == pytest.approx(11 * langid.BIN) and found.width[0, 9] == found.width[0, 7] == pytest.approx(41 * langid.BIN)
+    assert found.width[0, 5] == pytest.approx(2 * found.width[0, 7]) and np.isinf(found.width[1]).all()
+    assert langid.length_class(np.array([1, 2, 1023, 1024, 10**8])).tolist() == [0, 1, 9, 10, 10]
+
+
 def test_language_of_odd_rows(documents, odd_rows):
     training = [(100 + i, t, lang) for i in range(30) for t, lang in (("the cat and the dog went out", "en"), ("der hund und die katze", "de"))]
     docs = documents(odd_rows + training + [(200, "DER HUND!!"), (201, "123 456"), (202, "the cat"), (203, "x", None)])
