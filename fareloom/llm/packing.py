@@ -15,6 +15,7 @@ empty table gives no rows. Columns other than doc_id and text are not read. Text
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -47,11 +48,14 @@ class ChunkEncoder:
 
     Texts are cut where no token can cross, distinct chunks are encoded once and looked up afterwards. If the file's
     merge order is its id order, new chunks go to tiktoken (same merges, several times faster), else to tokenizers.
+    The strings of the file's added tokens have ids of their own wherever they stand; they are cut out first, and what
+    lies between them is encoded as a text of its own, as the library does.
     """
 
     def __init__(self, vocabulary: str, pattern: str):
-        model = json.loads(vocabulary)["model"]
-        table = _byte_of_symbol()
+        document = json.loads(vocabulary)
+        model, table = document["model"], _byte_of_symbol()
+        self.added = added_tokens(document)
         vocab, merges = model["vocab"], model["merges"]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in merges)
         if all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(pairs)):
@@ -64,7 +68,6 @@ class ChunkEncoder:
             from tokenizers import Tokenizer
 
             slow = Tokenizer.from_str(vocabulary)
-            slow.encode_special_tokens = True  # their strings in a text are ordinary text
             self.encode_chunk = lambda chunk: slow.encode(chunk, add_special_tokens=False).ids
         self.forget()
 
@@ -72,8 +75,14 @@ class ChunkEncoder:
         self.place: dict[bytes, int] = {}
         self.flat, self.start, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
+        return [[self.added[c]] if c in self.added else self.encode_chunk(c.decode()) for c in chunks]
+
+    def chunk_starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return chunk_starts(data, added_bounds(data, offsets, self.added))
+
     def _encode_new(self, chunks: list[bytes]) -> None:
-        each = [self.encode_chunk(c.decode()) for c in chunks]
+        each = self.encode_chunks(chunks)
         lengths = np.fromiter(map(len, each), np.int64, len(each))
         ids = np.fromiter((i for e in each for i in e), np.uint32)
         begin = len(self.flat) + np.cumsum(lengths) - lengths
@@ -85,7 +94,7 @@ class ChunkEncoder:
         """All ids of a run of texts and the end of each text in them."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        cuts = chunk_starts(data, offsets)
+        cuts = self.chunk_starts(data, offsets)
         bounds = np.append(cuts, len(data)).astype(np.int32)
         chunks = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(data)])
         coded = chunks.dictionary_encode()
@@ -103,6 +112,26 @@ class ChunkEncoder:
         return ids, np.where(last >= 0, ends[np.maximum(last, 0)], 0)
 
 
+def added_tokens(document: dict) -> dict[bytes, int]:
+    """Strings of a vocabulary file's added tokens and their ids; those that reach into their surroundings are refused."""
+    wide = [t["content"] for t in document.get("added_tokens", []) if t["single_word"] or t["lstrip"] or t["rstrip"]]
+    if wide:
+        raise ValueError(f"added tokens that depend on the text around them: {wide}")
+    return {t["content"].encode(): t["id"] for t in document.get("added_tokens", [])}
+
+
+def added_bounds(data: np.ndarray, offsets: np.ndarray, added: dict[bytes, int]) -> np.ndarray:
+    """`offsets` with the bounds of all added tokens in the texts between them, sorted."""
+    if not added:
+        return offsets
+    form = re.compile(b"|".join(map(re.escape, sorted(added, key=len, reverse=True))))
+    if not form.search(data):
+        return offsets
+    found = [edge + begin for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist())
+             for match in form.finditer(data[begin:end]) for edge in match.span()]
+    return np.unique(np.concatenate([offsets, np.array(found, offsets.dtype)]))
+
+
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Places where a text can be cut without changing its tokens.
 

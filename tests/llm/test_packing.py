@@ -15,9 +15,7 @@ PATH = P.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def checked(df, rows, tokenizer, window=1024):
@@ -46,7 +44,7 @@ def checked(df, rows, tokenizer, window=1024):
 
 
 def test_odd_rows(documents, odd_rows, tokenizer):
-    rows = [*odd_rows, (30, "<|endoftext|> is text"), (31, "a\n\nb \n c  d e  f\t"), (32, "don't they'll 'S 123 45 %%%"), (33, "　文 字 \x1c x")]
+    rows = [*odd_rows, (30, "<|endoftext|> is a token"), (34, "a <|endoftext|> b"), (35, "a  <|endoftext|>\n\n<|endoftext|><|endoftext|>  b <|endof"), (36, "text|> c"), (31, "a\n\nb \n c  d e  f\t"), (32, "don't they'll 'S 123 45 %%%"), (33, "　文 字 \x1c x")]
     checked(packing.pack(documents(rows), PATH, P.PATTERN), rows, tokenizer)
     assert packing.pack(documents([]), PATH, P.PATTERN).collect() == []
 
@@ -57,7 +55,7 @@ def test_many_documents_leave_little_padding(documents, tokenizer):
     assert checked(packing.pack(documents(rows), PATH, P.PATTERN), rows, tokenizer) < 0.01
 
 
-@pytest.mark.parametrize("text", ["", "a b", "  a", "é\né É  é", "x\n\n y", " \n", "a  b", "tab\tb c", "\x85 a", "naïve 日本 語 x"])
+@pytest.mark.parametrize("text", ["", "a b", "  a", "é\né É  é", "x\n\n y", " \n", "a  b", "tab\tb c", "\x85 a", "naïve 日本 語 x", " <|endoftext|> ", "x\n<|endoftext|>\ny", "<|endoftext"])
 def test_chunks_have_the_tokens_of_the_whole(text, tokenizer):
     with open(PATH, encoding="utf-8") as file:
         encoder = packing.ChunkEncoder(file.read(), P.PATTERN)
