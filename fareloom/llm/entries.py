@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import langid, mixing, neighbours, packing, partenum, pii, quality, secret_scan, substrings, vector_dedup
+from fareloom.llm import (
+    langid, middle, mixing, neighbours, packing, partenum, pii, planes, quality, secret_scan, spellings, substrings, vector_dedup,
+)
 from fareloom.llm.frames import crc_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +62,26 @@ def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def fim_report(docs: DataFrame) -> DataFrame:
+    made = middle.transformed(docs)
+    back = middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_report(table(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = planes.write_corpus(table(spark, sf_dir, "documents"), WORD_VOCABULARY, end_id=2)
+    return planes.read_corpus(spark, manifest)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_personal_data": op1_personal_data,
     "op2_mix_sources": op2_mix_sources,
@@ -70,6 +93,9 @@ QUERIES: dict[str, Query] = {
     "op8_nearest_vectors": op8_nearest_vectors,
     "op9_secrets": op9_secrets,
     "op10_vector_dedup": op10_vector_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_token_files": op12_token_files,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 MIX_SQL = r"""
