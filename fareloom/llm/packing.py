@@ -34,7 +34,7 @@ CACHED_CHUNKS = 400_000
 _ENCODERS: dict[int, "ChunkEncoder"] = {}
 
 
-def _byte_of_symbol() -> dict[str, int]:
+def byte_of_symbol() -> dict[str, int]:
     """The printable stand-ins that byte-level vocabularies write for the 256 bytes."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     table = {chr(b): b for b in shown}
@@ -54,7 +54,7 @@ class ChunkEncoder:
 
     def __init__(self, vocabulary: str, pattern: str):
         document = json.loads(vocabulary)
-        model, table = document["model"], _byte_of_symbol()
+        model, table = document["model"], byte_of_symbol()
         self.added = added_tokens(document)
         vocab, merges = model["vocab"], model["merges"]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in merges)
@@ -78,9 +78,6 @@ class ChunkEncoder:
     def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
         return [[self.added[c]] if c in self.added else self.encode_chunk(c.decode()) for c in chunks]
 
-    def chunk_starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return chunk_starts(data, added_bounds(data, offsets, self.added))
-
     def _encode_new(self, chunks: list[bytes]) -> None:
         each = self.encode_chunks(chunks)
         lengths = np.fromiter(map(len, each), np.int64, len(each))
@@ -94,7 +91,12 @@ class ChunkEncoder:
         """All ids of a run of texts and the end of each text in them."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        cuts = self.chunk_starts(data, offsets)
+        return self.encode_pieces(data, chunk_starts(data, added_bounds(data, offsets, self.added)), offsets)
+
+    def encode_pieces(self, data: np.ndarray, cuts: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As `encode`, for bytes cut at `cuts`; no piece lies in two texts."""
+        if not len(cuts):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         bounds = np.append(cuts, len(data)).astype(np.int32)
         chunks = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(data)])
         coded = chunks.dictionary_encode()

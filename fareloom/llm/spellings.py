@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.llm.frames import python_tasks, stored, stored_at
+from fareloom.llm.frames import gathered, python_tasks, stored, stored_at
 from fareloom.llm.words import text_slices
 from fareloom.sources.tables import drop_path
 
@@ -82,7 +82,7 @@ def counted_words(docs: DataFrame, least_length: int = 5, least_count: int = 3,
     python_tasks(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches):
             names = [b"%d:" % i if i is not None else b":" for i in batch.column(0).to_pylist()]
             for first, end, data, offsets in text_slices(batch.column(1)):
                 if not len(data):

@@ -102,3 +102,21 @@ def test_any_range_is_read_from_its_chunks(bits):
         file.write(content[:-5])
     with pytest.raises(ValueError, match="cut short"):
         planes.PlaneReader(path)
+
+
+WORDS = ["", " ", "a", "A  b", "don't 'tis it's'll X'S", "'", "''s", "naïve ÀÉÎ ß÷ø×x é", "x,y.z 'Re", "a1b22c", "日本語 x日", "e\u0301 E\u0301,", "=\u0338", "\x85x\xa0y",
+         "<|endoftext|>", "<|EndOfText|>", "a<|endoftext|>B", "<|startoftext|> A", "<|endoftext|", "\x00a\x1cb", "ﬁ İ Σς", "Ÿÿ", "a\u200db", "12,345.67€", "—,a—", "x\u0327 ç,"]
+
+
+def test_pieces_have_the_ids_of_the_whole(tokenizer):
+    with open(PATH, encoding="utf-8") as file:
+        encoder = planes.WordEncoder(file.read())
+    rng = np.random.default_rng(6)
+    mixed = ["".join(rng.choice(list("abzABé÷×ÉÀß 'stm.,!<|>19\n—日\u0301\u0338"), int(rng.integers(1, 30)))) for _ in range(3000)]
+    texts = [*WORDS, *mixed, " ".join(WORDS)]
+    raw = [t.encode() for t in texts]
+    ids, ends = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    begin = 0
+    for text, end in zip(texts, ends):
+        assert ids[begin:end].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+        begin = end
