@@ -9,12 +9,20 @@ in few features; PartEnum turns the second into equality:
   is hashed into n1 = (k + 1) / (slack + 1) first-level parts of n2 = slack + 2 second-level parts each. Some first-level part
   has at most `slack` differences, so that at least n2 - slack of its second-level parts have none: for every subset
   of n2 - slack parts, one signature is the hash of the features in them. Linked sets share at least one signature.
-
-Only documents that share a signature go on. Each signature with two or more documents hangs its documents under the
+* A subset without features makes a signature that sets without likeness share. With m spare first-level parts linked
+  sets agree in m + 1 of them, so that a set with at most m parts that have an empty subset leaves its empty signatures
+  out: in one of the m + 1 no subset is empty, and the other set signs it too. A set with more of them signs again under
+  another partition of the domain, and under the last one with all signatures. Two linked sets that both go on meet in
+  the next partition, so no link is lost.
+* Ahead of all this, a count-min sketch of all features tells which are in one set only. Of a set that links with another
+  one, at least the wanted percentage of features are in that other one; sets with fewer shared features do not sign. The
+  sketch overestimates, so that this loses nothing either.
+
+One document of each group of equal sets signs, and only documents that share a signature go on. Each signature with two or more documents hangs its documents under the
 least one (no pairs within a group), and the components of these edges are clusters. Within a cluster exact set sizes
 decide: every member is first compared with the members of its block, which also holds the cluster's least member.
 Members of a cluster of several blocks that this does not connect to the least member are compared with all blocks, so
-that no link between separate parts is missed. Copies are folded beforehand: a group of copies is one member.
+that no link between separate parts is missed. A group of copies is one member.
 
 Defined results: a text without words (or null) has the empty set, links with nothing and is its own component, also
 when repeated; a text with fewer words than a shingle has its word sequence as one feature; rows of the same id are one
@@ -24,19 +32,23 @@ gives no rows. Columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareloom.llm.components import components
-from fareloom.llm.frames import runs, python_tasks, stored, text_column
-from fareloom.llm.sketches import rows_of_ids
+from fareloom.llm.frames import gathered, python_tasks, runs, stored, text_column
+from fareloom.llm.sketches import SKETCH, estimated, merged_bits, partition_sketch, rows_of_ids
 from fareloom.llm.words import hash_windows, hash_words, mixed, split_words, text_slices
 
+ATTEMPTS = 3  # partitions of the domain that a set with too many empty signatures tries
+FLUSH = 4_000_000  # signatures that a task combines at once
 BLOCK = 256  # members of a cluster that one task compares with another such block
 
 
@@ -75,6 +87,8 @@ class Bands:
     """Size bands and the parts of their feature domain; all of it follows from the parameters."""
 
     def __init__(self, percent: int, slack: int, ratio: int):
+        if ratio * percent < 10_000:
+            raise ValueError("a set can link beyond the next band")
         self.percent, self.slack, self.ratio = percent, slack, ratio
         self.last = np.zeros(1, np.int64)  # largest size of each band; band 0 is the empty set
 
@@ -87,12 +101,19 @@ class Bands:
         low = int(self.last[-1]) + 1
         self.last = np.append(self.last, low * self.ratio // 100)
 
-    def first_level(self, bands: np.ndarray) -> np.ndarray:
-        """Number of first-level parts of each band; 0 if its linked sets cannot differ, so that only copies link."""
+    def parts(self, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First-level parts of each band and how many of them are spare, to make up for those with an empty subset.
+
+        No parts where linked sets cannot differ, so that only copies link.
+        """
         while len(self.last) <= (bands.max() if len(bands) else 0):
             self._widen()
         differ = 2 * self.last[bands] * (100 - self.percent) // (100 + self.percent)
-        return np.where(differ > 0, -(-(differ + 1) // (self.slack + 1)), 0)
+        needed = np.where(differ > 0, differ // (self.slack + 1) + 1, 0)
+        load = self.last[bands] / 1.5 * 2.0 / (self.slack + 2) / np.maximum(needed, 1)  # features of a smaller set's subset
+        empty = np.minimum(math.comb(self.slack + 2, 2) * np.exp(-load), 0.3)
+        spare = np.floor(2 * empty * needed + 0.9).astype(np.int64)
+        return needed + spare, spare
 
     def signed(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(set, band) pairs to sign."""
@@ -105,51 +126,123 @@ class Bands:
 def signatures(features: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     """All signatures of many sets, and the set of each."""
     which, band = bands.signed(np.diff(bounds))
-    first = bands.first_level(band)
-    which, band, first = which[first > 0], band[first > 0], first[first > 0]
-    if not len(which):
-        return np.zeros(0, np.uint64), which
-    second = bands.slack + 2
+    first, spare = bands.parts(band)
+    out, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    going = np.flatnonzero(first > 0)
+    for attempt in range(ATTEMPTS):
+        if not len(going):
+            break
+        values, pair, empty, begin = _signed_once(features, bounds, which[going], band[going], first[going], bands.slack + 2, attempt)
+        short = np.add.reduceat(empty.any(axis=1).astype(np.int64), begin) > spare[going]
+        kept = ~empty | (short[pair][:, None] if attempt == ATTEMPTS - 1 else False)
+        out.append(values[kept])
+        owner.append(np.repeat(which[going][pair], kept.sum(axis=1)))
+        going = going[short]
+    return np.concatenate(out), np.concatenate(owner)
+
+
+def _signed_once(features: np.ndarray, bounds: np.ndarray, which: np.ndarray, band: np.ndarray, first: np.ndarray,
+                 second: int, attempt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By first-level part (rows): signatures of its subsets, its signing pair, which subsets are empty; each pair's first row."""
     size = np.diff(bounds)[which]
     row = np.repeat(np.arange(len(which)), size)  # signing pair of each feature
     feature = features[np.arange(len(row)) - (np.cumsum(size) - size)[row] + bounds[:-1][which][row]]
     base = np.cumsum(first * second) - first * second
-    part = (mixed(feature, 11) % (first * second).astype(np.uint64)[row]).astype(np.int64) + base[row]
-    sums = np.zeros(int((first * second).sum()), np.uint64)
+    part = (mixed(feature, 11 + 100 * attempt) % (first * second).astype(np.uint64)[row]).astype(np.int64) + base[row]
+    total = int((first * second).sum())
+    sums = np.zeros(total, np.uint64)
     np.add.at(sums, part, mixed(feature, 14))
-    sums = sums.reshape(-1, second)
+    sums, filled = sums.reshape(-1, second), np.bincount(part, minlength=total).reshape(-1, second)
     pair = np.repeat(np.arange(len(which)), first)
-    level = np.arange(len(pair)) - (np.cumsum(first) - first)[pair]
-    out, owner = [], []
+    begin = np.cumsum(first) - first
+    level = np.arange(len(pair)) - begin[pair]
+    values, empty = [], []
     with np.errstate(over="ignore"):
         for i, (a, b) in enumerate(combinations(range(second), 2)):
-            key = (level.astype(np.uint64) << np.uint64(24)) + (band[pair].astype(np.uint64) << np.uint64(8)) + np.uint64(i)
-            out.append(mixed(mixed(sums[:, a] + sums[:, b], 15) + mixed(key, 16), 17))
-            owner.append(which[pair])
-    return np.concatenate(out), np.concatenate(owner)
+            key = (level.astype(np.uint64) << np.uint64(24)) + (band[pair].astype(np.uint64) << np.uint64(8)) + np.uint64(i + 16 * attempt)
+            values.append(mixed(mixed(sums[:, a] + sums[:, b], 15) + mixed(key, 16), 17))
+            empty.append(filled[:, a] + filled[:, b] == 0)
+    return np.stack(values, axis=1), pair, np.stack(empty, axis=1), begin
 
 
-def signed_sets(docs: DataFrame, shingle: int, percent: int, slack: int, ratio: int) -> DataFrame:
-    """doc_id, n_shingles, set hashes h1 and h2, and signatures of each row."""
+def hashed_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, n_shingles and the set hashes h1 and h2 of each row."""
     python_tasks(docs.sparkSession)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent, slack, ratio)
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, end, data, offsets in text_slices(batch.column(1)):
                 features, bounds = shingle_sets(data, offsets, shingle)
                 h1, h2 = set_hashes(features, bounds)
-                values, owner = signatures(features, bounds, bands)
-                order = np.argsort(owner, kind="stable")
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.searchsorted(owner[order], np.arange(end - start + 1)).astype(np.int32)),
-                    pa.array(values[order].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, end - start), pa.array(np.diff(bounds)), pa.array(h1), pa.array(h2), lists],
-                    ["doc_id", "n_shingles", "h1", "h2", "signatures"])
+                    [batch.column(0).slice(start, end - start), pa.array(np.diff(bounds)), pa.array(h1), pa.array(h2)],
+                    ["doc_id", "n_shingles", "h1", "h2"])
+
+    return docs.select("doc_id", text_column().alias("text")).mapInArrow(measure, "doc_id long, n_shingles long, h1 long, h2 long")
+
+
+def shared_counters(docs: DataFrame, shingle: int, counters: int) -> np.ndarray:
+    """Bits of a count-min sketch of all features: which counters reached 2."""
+    python_tasks(docs.sparkSession)
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = (shingle_sets(data, offsets, shingle)[0] for batch in gathered(batches) for _, _, data, offsets in text_slices(batch.column(0)))
+        yield from partition_sketch(features, counters, 1)
+
+    return merged_bits(docs.select("text").mapInArrow(sketch, SKETCH), counters, 1, 2)
 
-    return docs.select("doc_id", text_column().alias("text")).mapInArrow(
-        sign, "doc_id long, n_shingles long, h1 long, h2 long, signatures array<long>")
+
+def sharing_sets(features: np.ndarray, bounds: np.ndarray, bits: np.ndarray, counters: int, percent: int) -> np.ndarray:
+    """The sets of which so many features are estimated to be in another set that they can link with one."""
+    size = np.diff(bounds)
+    seen = np.append(0, np.cumsum(estimated(features, bits, counters, 1)))
+    return np.flatnonzero((size > 0) & (100 * (seen[bounds[1:]] - seen[bounds[:-1]]) >= percent * size))
+
+
+def signature_rows(docs: DataFrame, bits: Broadcast, counters: int, shingle: int, percent: int, slack: int, ratio: int) -> DataFrame:
+    """signature and doc of each row that may link with another; a signature that a task has met before comes with `low`, the least doc it saw.
+
+    So a signature has, beside rows that already name a partner, at most one row for every FLUSH signatures of a task,
+    however many documents share it.
+    """
+    python_tasks(docs.sparkSession)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(percent, slack, ratio)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def combined() -> pa.RecordBatch:
+            values, docs_of = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            order = np.lexsort((docs_of, values))
+            values, docs_of = values[order], docs_of[order]
+            new = np.ones(len(values), bool)
+            new[1:] = values[1:] != values[:-1]
+            low = docs_of[np.flatnonzero(new)][np.cumsum(new) - 1]
+            keep = new | (docs_of != low)
+            return pa.RecordBatch.from_arrays([
+                pa.array(values[keep].view(np.int64)), pa.array(docs_of[keep]), pa.array(low[keep], mask=new[keep])], ["signature", "doc", "low"])
+
+        size = 0
+        for batch in gathered(batches):
+            ids = batch.column(0).to_numpy()
+            for start, _, data, offsets in text_slices(batch.column(1)):
+                features, bounds = shingle_sets(data, offsets, shingle)
+                able = sharing_sets(features, bounds, bits.value, counters, percent)
+                size_of = np.diff(bounds)
+                chosen = np.zeros(len(size_of), bool)
+                chosen[able] = True
+                values, owner = signatures(features[np.repeat(chosen, size_of)], np.append(0, np.cumsum(size_of[able])), bands)
+                if len(values):
+                    held.append((values, ids[start + able[owner]]))
+                    size += len(values)
+                if size >= FLUSH:
+                    yield combined()
+                    size = 0
+        if held:
+            yield combined()
+
+    return docs.mapInArrow(sign, "signature long, doc long, low long")
 
 
 class Forest:
@@ -222,16 +315,29 @@ def verified(placed: DataFrame, docs: DataFrame, keys: list[str], shingle: int,
     return rows.select(*keys, "node", "h1", "first", "text").mapInArrow(compare, "node long, root long")
 
 
-def linked_documents(docs: DataFrame, shingle: int = 3, percent: int = 90, slack: int = 1, ratio: int = 140, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles and component_id of each row of `docs`."""
-    sets = stored(signed_sets(docs, shingle, percent, slack, ratio), "partenum-sets")
+def linked_documents(docs: DataFrame, shingle: int = 3, percent: int = 90, slack: int = 1, ratio: int | None = None, block: int = BLOCK,
+                     counters: int = 1 << 28) -> DataFrame:
+    """doc_id, n_shingles and component_id of each row of `docs`.
+
+    `ratio` is the largest over the smallest size of a band, in percent: wide bands mean fewer sets that sign for two,
+    narrow ones fewer signatures per set; sets must not link beyond the next band. Unset, it is 140, or more if needed.
+    `counters` (a power of 2) is the size of the sketch that tells shared features: full ones let more sets sign.
+    """
+    ratio = ratio or max(140, -(-10_000 // percent))
+    sets = stored(hashed_sets(docs, shingle), "partenum-sets")
     able = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = stored(able.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "partenum-classes")
     folded = able.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "node")
 
-    signed = able.select("doc_id", F.explode("signatures").alias("signature"))
-    shared = signed.groupBy("signature").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    stars = signed.join(shared, "signature").where("doc_id > low").select("low", "doc_id").distinct()
+    # one document of each group of copies signs; the filter lets through a few others, which adds rows and no links
+    heads = rows_of_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")), classes, "node", "doc_id")
+    bits = docs.sparkSession.sparkContext.broadcast(shared_counters(heads, shingle, counters))
+    signed = signature_rows(heads, bits, counters, shingle, percent, slack, ratio)
+    least = F.min("doc").over(Window.partitionBy("signature"))
+    stars = (
+        signed.withColumn("least", least).where("low IS NOT NULL OR doc > least")
+        .select(F.coalesce("low", "least").alias("low"), F.col("doc").alias("doc_id")).distinct()
+    )
     near = (
         stars.join(folded, "doc_id").select("low", F.col("node").alias("b"))
         .join(folded.select(F.col("doc_id").alias("low"), F.col("node").alias("a")), "low").select("a", "b").where("a <> b")

@@ -90,8 +90,11 @@ def estimated(hashes: np.ndarray, bits: np.ndarray, counters: int, depth: int) -
     return seen
 
 
-def rows_of_ids(rows: DataFrame, ids: DataFrame, id_name: str, counters: int = 1 << 26) -> DataFrame:
-    """The rows whose id is among `ids` (not null), and few others: a filter ahead of a join, so that it moves little."""
+def rows_of_ids(rows: DataFrame, ids: DataFrame, id_name: str, row_id: str | None = None, counters: int = 1 << 26) -> DataFrame:
+    """The rows whose id is among `ids` (not null), and few others: a filter ahead of a join, so that it moves little.
+
+    `id_name` is the column of `ids`, and of `rows` unless `row_id` names another.
+    """
     def of(column: pa.Array) -> np.ndarray:
         return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
@@ -100,10 +103,10 @@ def rows_of_ids(rows: DataFrame, ids: DataFrame, id_name: str, counters: int = 1
 
     bits = merged_bits(ids.select(F.col(id_name).cast("long")).mapInArrow(sketch, SKETCH), counters, 1, 1)
     shared = rows.sparkSession.sparkContext.broadcast(bits)
-    place = rows.columns.index(id_name)
+    place = rows.columns.index(row_id or id_name)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(estimated(of(batch.column(place)), shared.value, counters, 1)))
 
-    return rows.where(F.col(id_name).isNotNull()).mapInArrow(keep, rows.schema)
+    return rows.where(F.col(row_id or id_name).isNotNull()).mapInArrow(keep, rows.schema)

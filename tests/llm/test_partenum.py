@@ -3,9 +3,16 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pytest
 
 from fareloom.llm import partenum
 from fareloom.llm.components import components
+from fareloom.llm.sketches import counter_places
+
+
+def partenum_counters(features, counters):
+    return counter_places(features, counters, 1)
+
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -69,25 +76,62 @@ def test_large_cluster_over_many_blocks(documents):
     assert result(partenum.linked_documents(documents(rows), block=7)) == brute(rows)
 
 
-def test_signatures_meet_for_every_linked_pair():
+@pytest.mark.parametrize("percent,ratio", [(90, 140), (80, 125), (80, 140), (60, 170)])
+def test_signatures_meet_for_every_linked_pair(percent, ratio):
     """Sets at the edge of the bound, of equal and unequal sizes, share a signature."""
     rng = np.random.default_rng(7)
-    bands = partenum.Bands(90, 1, 140)
+    bands = partenum.Bands(percent, 1, ratio)
+    tenth = 100 - percent
     for size in (5, 10, 11, 19, 20, 37, 100, 333, 1000):
-        for _ in range(20):
+        for _ in range(40):
             pool = rng.integers(1, 1 << 62, 2 * size + 5).astype(np.uint64)
-            grow = int(rng.integers(0, size // 9 + 1))
+            grow = int(rng.integers(0, size * tenth // percent + 1))
             b = np.unique(np.concatenate([pool[:size], pool[size:size + grow]]))
-            room = (len(b) * 10) // 100 - grow
+            room = len(b) * tenth // 100 - grow
             drop = int(rng.integers(0, max(room, 0) + 1))
             a, b = np.sort(pool[:size]), np.sort(b[drop:])
             common = len(np.intersect1d(a, b))
-            if 100 * common < 90 * (len(a) + len(b) - common) or len(a) == len(b) == common:
+            if 100 * common < percent * (len(a) + len(b) - common) or len(a) == len(b) == common:
                 continue
             values, owner = partenum.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), bands)
             assert set(values[owner == 0].tolist()) & set(values[owner == 1].tolist())
 
 
+def test_empty_signatures_are_left_out_and_sets_without_likeness_do_not_meet():
+    rng = np.random.default_rng(8)
+    bands = partenum.Bands(80, 1, 140)
+    sizes = rng.integers(5, 400, 1500)
+    features = rng.integers(1, 1 << 62, int(sizes.sum())).astype(np.uint64)
+    values, owner = partenum.signatures(features, np.append(0, np.cumsum(sizes)), bands)
+    _, group, count = np.unique(values, return_inverse=True, return_counts=True)
+    assert set(owner.tolist()) == set(range(1500))
+    assert len(np.unique(owner[count[group] > 1])) < 100
+    with pytest.raises(ValueError):
+        partenum.Bands(80, 1, 115)
+
+
+def test_sets_with_few_shared_features_do_not_sign():
+    features, bounds = np.arange(1, 41, dtype=np.uint64), np.array([0, 10, 10, 20, 40])
+    bits = np.zeros(1024 // 8, np.uint8)
+    for place in next(partenum_counters(features[[*range(0, 8), *range(10, 17)]], 1024)):
+        bits[place >> 3] |= 128 >> (place & 7)
+    able = partenum.sharing_sets(features, bounds, bits, 1024, 80)
+    assert 0 in able and 1 not in able and 3 not in able
+
+
+def test_copies_and_near_copies_meet_in_hot_signatures(documents):
+    """A third of the rows alike, in pieces of several tasks and of several rounds of combining."""
+    rng = np.random.default_rng(10)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(f"x{rng.integers(10_000)}" for _ in range(60))) for i in range(120)]
+    rows += [(1000 + i, " ".join(base)) for i in range(30)] + [(2000 + i, " ".join([*base[:i], f"y{i}", *base[i + 1:]])) for i in range(30)]
+    old, partenum.FLUSH = partenum.FLUSH, 500
+    try:
+        assert result(partenum.linked_documents(documents(rows), shingle=5, percent=80)) == brute(rows, 5, 80)
+    finally:
+        partenum.FLUSH = old
+
+
 def test_empty_table(documents):
     assert partenum.linked_documents(documents([])).collect() == []
 
