@@ -7,7 +7,9 @@ Running totals over a large ordered domain are split at fitted cut points: total
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,9 @@ from fareloom.sources.tables import settled
 BRACKET_MARGIN = 1e-4
 SKETCH_ACCURACY = 100_000
 SLICE_VALUES = 1_000_000
+# A bracket of whole columns is narrowed until it holds so many rows; each round leaves this share on either side.
+KEPT_ROWS = 50_000
+NARROWING = 2e-3
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -82,10 +87,111 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     )
 
 
+@dataclass
+class Bracket:
+    """Where a rank of a column is searched: `below` rows lie under `low`, `inside` rows from `low` to `high`."""
+
+    column: str
+    rank: int  # the wanted place, from 1; the next place is wanted too
+    low: float
+    high: float
+    below: int
+    inside: int
+
+    @property
+    def open(self) -> bool:
+        return self.inside > KEPT_ROWS and not _same(self.low, self.high)
+
+
+def _same(a: float, b: float) -> bool:
+    return a == b or (a != a and b != b)
+
+
+def _within(x: Column, bracket: Bracket) -> Column:
+    return x.between(F.lit(float(bracket.low)), F.lit(float(bracket.high)))
+
+
+def _narrowed(df: DataFrame, number: Mapping[str, Column], brackets: Sequence[Bracket]) -> list[Bracket]:
+    """One round: two wide passes find narrower bounds and count the rows below and inside them."""
+    alike: dict[tuple[str, str, str], list[Bracket]] = {}  # ranks that share their bracket share a sketch
+    for b in brackets:
+        alike.setdefault((b.column, str(b.low), str(b.high)), []).append(b)
+    marks = []
+    for k, (b, *_) in enumerate(alike.values()):
+        ends = []
+        for own in alike[b.column, str(b.low), str(b.high)]:
+            first, last = ((own.rank + step - own.below - 1) / max(own.inside - 1, 1) for step in (0, 1))
+            ends += [max(first - NARROWING, 0.0), min(last + NARROWING, 1.0)]
+        marks.append(F.percentile_approx(F.when(_within(number[b.column], b), number[b.column]), ends, int(5 / NARROWING)).alias(f"m{k}"))
+    bounds = df.agg(*marks).first()
+    bound_of = {(own.column, own.rank): bounds[f"m{k}"][2 * i:2 * i + 2] for k, group in enumerate(alike.values()) for i, own in enumerate(group)}
+    tried = [replace(b, low=bound_of[b.column, b.rank][0], high=bound_of[b.column, b.rank][1]) for b in brackets]
+    counts = df.agg(*[
+        total.alias(f"{name}{k}") for k, b in enumerate(tried) for name, total in (
+            ("below", F.count_if(number[b.column] < F.lit(float(b.low)))), ("inside", F.count_if(_within(number[b.column], b))))
+    ]).first()
+    out = []
+    for k, (b, old) in enumerate(zip(tried, brackets)):
+        new = replace(b, below=counts[f"below{k}"], inside=counts[f"inside{k}"])
+        reached = min(new.rank + 1, old.below + old.inside)  # the last place has none after it
+        # the sketch keeps its error bound, so that a miss would be its fault: then the round counts for nothing
+        out.append(new if new.below < new.rank and new.below + new.inside >= reached else old)
+    return out
+
+
 def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    """Quantiles of a whole frame as plain numbers, one list per column that has any value."""
-    rows = exact_quantiles(df, columns, probs).collect()
-    return {r["feature"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
+    """Linearly interpolated quantiles of a whole frame, a list for each column that has any value.
+
+    Selection by narrowing: every wanted rank has a bracket of values, at first the whole range of its column. A round
+    narrows all brackets at once by wide aggregates, without a row per cell, until none holds more than KEPT_ROWS rows
+    or its bounds are one value; a round leaves about a hundredth of the rows at most. Then only the values inside the brackets
+    become rows, are counted by value and put in order. The result equals `percentile` and numpy's default method; nulls
+    are left out, NaN is the largest value.
+    """
+    number = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    if not columns:
+        return {}
+    whole = df.agg(*[
+        F.struct(F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high")).alias(f"w{k}") for k, x in enumerate(number.values())
+    ]).first()
+    brackets: dict[tuple[str, int], Bracket] = {}
+    parts: dict[str, list[tuple[int, float]]] = {}
+    for k, c in enumerate(number):
+        n, low, high = whole[f"w{k}"]
+        for p in probs if n else []:
+            place = (n - 1) * p
+            rank = math.floor(place) + 1
+            parts.setdefault(c, []).append((rank, place - math.floor(place)))
+            brackets[c, rank] = Bracket(c, rank, low, high, 0, n)
+    while True:
+        going = [key for key, b in brackets.items() if b.open]
+        narrower = dict(zip(going, _narrowed(df, number, [brackets[key] for key in going]))) if going else {}
+        if all(narrower[key] == brackets[key] for key in going):
+            break
+        brackets.update(narrower)
+
+    searched = list({(b.column, str(b.low), str(b.high)): b for b in brackets.values()}.values())
+    number_of = {(b.column, str(b.low), str(b.high)): k for k, b in enumerate(searched)}
+    if not searched:
+        return {}
+    cells = F.array_compact(F.array(*[
+        F.when(_within(number[b.column], b), F.struct(F.lit(k).alias("k"), number[b.column].alias("x"))) for k, b in enumerate(searched)]))
+    counted = df.select(F.explode(cells).alias("v")).groupBy("v.k", "v.x").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("k").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranks: dict[tuple[int, int], tuple[str, int]] = {}
+    for (c, rank), b in brackets.items():
+        for step in (0, 1):
+            ranks[number_of[c, str(b.low), str(b.high)], rank + step - b.below] = (c, rank + step)
+    wanted = df.sparkSession.createDataFrame([(k, local) for k, local in ranks], "k INT, place BIGINT")
+    # a place falls on the first value up to which that many rows are counted
+    ordered = counted.withColumn("upto", upto)
+    on_place = (ordered["k"] == wanted["k"]) & (wanted["place"] > ordered["upto"] - ordered["c"]) & (wanted["place"] <= ordered["upto"])
+    found = {ranks[r["k"], r["place"]]: r["x"] for r in ordered.join(F.broadcast(wanted), on_place).select(wanted["k"], "place", "x").collect()}
+    result = {}
+    for c, places in parts.items():
+        pairs = [(found[c, rank], found.get((c, rank + 1), found[c, rank]), part) for rank, part in places]
+        result[c] = [x if not part or _same(x, after) else x + (after - x) * part for x, after, part in pairs]
+    return result
 
 
 def running_totals(df: DataFrame, order_by: str, totals: Mapping[str, Column], descending: bool = False,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fareloom.functions.exprs import percent, round_stable, safe_ratio
-from fareloom.functions.quantiles import exact_quantiles
+from fareloom.functions.quantiles import quantile_values
 
 # Fixed value: the relative tolerance that goes with each absolute one.
 RELATIVE_TOLERANCE = 1e-5
@@ -86,11 +86,11 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, digits:
         "min": F.min(c).cast("double"),
         "max": F.max(c).cast("double"),
     } for c in columns})
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
-        F.col("feature").alias("column"),
-        *[round_stable(F.col(f"q{i}"), digits).alias(n) for i, n in enumerate(["q25", "q50", "q75"])],
-    )
-    return basics.join(quartiles, "column", "left")
+    found = quantile_values(df, columns, [0.25, 0.5, 0.75])
+    quartiles = F.create_map(*[x for c, q in found.items() for x in (F.lit(c), F.array(*map(F.lit, q)))]) if found else F.create_map()
+    return basics.select("*", *[
+        round_stable(F.get(quartiles[F.col("column")], F.lit(i)), digits).alias(n) if found else F.lit(None).cast("double").alias(n)
+        for i, n in enumerate(["q25", "q50", "q75"])])
 
 
 def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

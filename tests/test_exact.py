@@ -9,6 +9,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from fareloom.functions import quantiles
 from fareloom.functions.quantiles import exact_quantiles, running_totals
 from fareloom.operators import evaluation, splitting
 
@@ -31,6 +32,40 @@ def test_quantiles_equal_numpy(spark, n):
     assert np.allclose(got["i"], np.quantile(np.arange(n, dtype=float), PROBS), rtol=0, atol=1e-9)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 1000, 20_000, 150_000])
+@pytest.mark.parametrize("kept", [10, 50_000])
+def test_narrowed_quantiles_equal_numpy(spark, monkeypatch, n, kept):
+    """Few rows kept force several rounds; a third of the rows are one value, and one column has a single value."""
+    monkeypatch.setattr(quantiles, "KEPT_ROWS", kept)
+    data = sample(n)
+    df = spark.createDataFrame([(x, float(i), 3.0, None) for i, x in enumerate(data)], "x DOUBLE, i DOUBLE, s DOUBLE, e DOUBLE")
+    got = quantiles.quantile_values(df, ["x", "i", "s", "e"], PROBS)
+    assert np.allclose(got["x"], np.quantile(data, PROBS), rtol=0, atol=1e-12)
+    assert np.allclose(got["i"], np.quantile(np.arange(n, dtype=float), PROBS), rtol=0, atol=1e-9)
+    assert got["s"] == [3.0] * len(PROBS) and "e" not in got
+
+
+def test_a_bracket_with_a_third_of_the_distinct_values(spark, monkeypatch):
+    """Values so close that the first bounds catch a third of them, beside far ones, infinity and NaN."""
+    monkeypatch.setattr(quantiles, "KEPT_ROWS", 50)
+    data = [1.0 + i * 1e-12 for i in range(20_000)] + [float(i * 1000) for i in range(1, 40_001)]
+    df = spark.createDataFrame([(x,) for x in data], "x DOUBLE").repartition(4)
+    assert np.allclose(quantiles.quantile_values(df, ["x"], PROBS)["x"], np.quantile(data, PROBS), rtol=1e-12, atol=0)
+    odd = spark.createDataFrame([(x,) for x in [1.0, float("inf"), float("-inf"), float("nan"), 2.0]], "x DOUBLE")
+    low, middle, high = quantiles.quantile_values(odd, ["x"], [0.0, 0.5, 1.0])["x"]
+    assert (low, middle) == (float("-inf"), 2.0) and high != high
+
+
+def test_rounds_need_no_row_per_cell(spark, monkeypatch):
+    """A round reads the source twice, and only rows inside the last brackets are exploded."""
+    seen = []
+    narrow = quantiles._narrowed
+    monkeypatch.setattr(quantiles, "_narrowed", lambda *a: seen.append(narrow(*a)) or seen[-1])
+    df = spark.range(400_000).selectExpr("CAST(id AS DOUBLE) AS x", "CAST(id % 7 AS DOUBLE) AS d")
+    assert quantiles.quantile_values(df, ["x", "d"], [0.25, 0.5]) == {"x": [99_999.75, 199_999.5], "d": [1.0, 3.0]}
+    assert len(seen) <= 2 and all(b.inside < 4_000 for b in seen[-1] if b.column == "x")
+
+
 def test_quantiles_by_group_skip_nulls(spark):
     rows = [("a", 1.0), ("a", None), ("a", 3.0), ("b", None), ("c", 5.0)]
     df = spark.createDataFrame(rows, "g STRING, x DOUBLE")
