@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions.exprs import VEHICLE_TYPES, mapped, round_stable
-from fareloom.operators import encoding, engineering, evaluation, fitted, scoring, selection, splitting, training, usecases
+from fareloom.operators import encoding, engineering, evaluation, fitted, quality, scoring, selection, splitting, training, usecases
 from fareloom.plans.dashboard import equal_width_histogram
 from fareloom.plans.feature_queries import comparable, wide_of
 from fareloom.sources import tables
@@ -49,7 +49,7 @@ def train_part(t: StoredRideTables) -> DataFrame:
 
 def one_split(t: StoredRideTables, use_case: str) -> usecases.Split:
     def build() -> usecases.Split:
-        split = usecases.get_split(engineered(t), use_case, trees=20)
+        split = usecases.get_split(engineered(t), use_case)
         split.train, split.test = tables.settled(split.train, "train"), tables.settled(split.test, "test")
         return split
     return t.kept(f"split {use_case}", build)
@@ -72,16 +72,26 @@ def _projection_report(t: StoredRideTables) -> DataFrame:
 
 
 def _soundness(t: StoredRideTables) -> DataFrame:
-    """Per task: whether a giveaway column is left among the features, and rows without a target."""
+    """Per task, of the rows before and after those without a target go: whether a giveaway column is left, and counts."""
     frame, rows = engineered(t), []
     for use_case in ("UC1", "UC2_Cab", "UC2_Auto", "UC2_Bike", "UC3", "UC4"):
         target = usecases.TARGETS[usecases.base_of(use_case)]
-        left = splitting.drop_missing_target(usecases.project(frame, use_case), target)
-        leaking = set(usecases.leakage_columns(frame, use_case)) & set(left.columns)
-        features = [c for c in left.columns if c not in (usecases.KEY, target)]
-        missing = left.agg(F.count_if(F.col(target).isNull())).first()[0]
-        rows.append((use_case, target in features or bool(leaking), missing))
-    return rows_from(t, rows, "use_case STRING, target_leaks BOOLEAN, null_targets BIGINT")
+        given = usecases.project(frame, use_case)
+        leaking = set(usecases.leakage_columns(frame, use_case)) & set(given.columns)
+        features = [c for c in given.columns if c not in (usecases.KEY, target)]
+        before, without = given.agg(F.count(F.lit(1)), F.count_if(F.col(target).isNull())).first()
+        kept = splitting.drop_missing_target(given, target)
+        quality.require_sound_split(kept, features, target)
+        rows.append((use_case, target in features or bool(leaking), before, without, kept.count()))
+    return rows_from(t, rows, "use_case STRING, target_leaks BOOLEAN, rows BIGINT, null_targets BIGINT, rows_kept BIGINT")
+
+
+def _class_balance(t: StoredRideTables) -> DataFrame:
+    """Share of each class among the training rows, for every classification task."""
+    return reduce(DataFrame.unionByName, [
+        quality.class_balance(train_part(t), usecases.TARGETS[use_case]).select(
+            F.lit(use_case).alias("use_case"), F.col(usecases.TARGETS[use_case]).cast("int").alias("class"), "count", "share")
+        for use_case in usecases.CLASSIFICATION])
 
 
 def _vehicle_rows(t: StoredRideTables) -> DataFrame:
@@ -129,12 +139,11 @@ def _scaled(t: StoredRideTables) -> DataFrame:
     return comparable(fitted.apply_scaler(parted(t), scale).select("booking_id", *scale), 5)
 
 
-IMPUTED = ("actual_ride_time_min", "acceptance_rate", "cancellation_rate")
-
-
 def _imputed(t: StoredRideTables) -> DataFrame:
-    medians = fitted.fit_medians(train_part(t), IMPUTED)
-    return comparable(fitted.apply_medians(parted(t).select("booking_id", *IMPUTED), medians))
+    """Every measured column, its gaps filled by the training median."""
+    measured = [c for c, kind in parted(t).dtypes if kind == "double"]
+    medians = fitted.fit_medians(train_part(t), measured)
+    return comparable(fitted.apply_medians(parted(t).select("booking_id", *measured), medians))
 
 
 def _post_split(t: StoredRideTables) -> DataFrame:
@@ -147,14 +156,18 @@ def _post_split(t: StoredRideTables) -> DataFrame:
 
 # Selection ---------------------------------------------------------------------------------------------------------
 
-CORRELATED = ("ride_distance_km", "surge_multiplier", "base_fare", "estimated_ride_time_min", "customer_age",
-              "customer_tenure_years", "acceptance_rate", "delay_rate", "avg_driver_rating", "demand_supply_ratio",
-              "loc_total_requests", "hour_sin", "hour_cos", "is_night_ride", "peak_time_flag", "surge_x_distance",
-              "constant_column")
+IDENTIFIERS = ("booking_id", "customer_id", "driver_id")
 
 
-def _correlated(t: StoredRideTables) -> DataFrame:
-    return train_part(t).withColumn("constant_column", F.lit(1.0))
+def _of_each_class_target(t: StoredRideTables, report: Callable[[DataFrame, list[str], str], DataFrame]) -> DataFrame:
+    """A correlation report of all numeric columns but ids and the target itself, for every classification task."""
+    rows = train_part(t).withColumn("constant_column", F.lit(1.0))
+    parts = []
+    for use_case in usecases.CLASSIFICATION:
+        target = usecases.TARGETS[use_case]
+        features = [c for c in quality.numeric_columns(rows) if c not in (*IDENTIFIERS, target)]
+        parts.append(report(rows, features, target).withColumn("use_case", F.lit(use_case)))
+    return comparable(reduce(DataFrame.unionByName, parts))
 
 
 def _correlation_report(t: StoredRideTables) -> DataFrame:
@@ -411,6 +424,7 @@ def _settings_roundtrip(t: StoredRideTables) -> DataFrame:
 ENTRIES: dict[str, Build] = {
     "u1_u2_projection": _projection_report,
     "d20_split_checks": _soundness,
+    "d21_train_class_balance": _class_balance,
     "u3_vehicle_rows": _vehicle_rows,
     "u4_u5_train_test": lambda t: parted(t).select("booking_id", "booking_status_enc", "split"),
     "u5_plain_split": lambda t: splitting.train_test(t.bookings.select("booking_id"), "booking_id"),
@@ -431,10 +445,10 @@ ENTRIES: dict[str, Build] = {
     "z8_scaled": _scaled,
     "z9_imputed": _imputed,
     "z10_post_split": _post_split,
-    "x1_target_correlations": lambda t: comparable(selection.target_correlations(_correlated(t), CORRELATED, "is_cancelled")),
+    "x1_target_correlations": lambda t: _of_each_class_target(t, selection.target_correlations),
     "x2_correlation_filter": _correlation_report,
     "x3_importance_filter": _importance_report,
-    "x4_correlation_ranking": lambda t: comparable(selection.correlation_ranking(_correlated(t), CORRELATED, "is_cancelled")),
+    "x4_correlation_ranking": lambda t: _of_each_class_target(t, selection.correlation_ranking),
     "v1_binary_metrics": lambda t: evaluation.classification_metrics(rule_scored(t), positive=1),
     "v1_weighted_metrics": lambda t: evaluation.classification_metrics(rule_classes(t)),
     "v1_class_report": _per_class,

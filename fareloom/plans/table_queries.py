@@ -21,6 +21,26 @@ def _raw_roundtrip(t: RideTables) -> DataFrame:
     return tables.read_csv(t.spark, f"{path}/bookings.csv", schemas.RAW_BOOKINGS)
 
 
+def _raw_table(name: str) -> Callable[[RideTables], DataFrame]:
+    """One of the five delivered CSV files, written and loaded together."""
+    def loaded(t: RideTables) -> DataFrame:
+        folder = tables.scratch_path(t.spark, "raw")
+        tables.write_tables({**five_tables(t), "bookings": t.raw_bookings}, folder, "csv")
+        return tables.load_raw_data(t.spark, folder)[name]
+    return loaded
+
+
+def _append_all(t: RideTables) -> DataFrame:
+    """All five tables, each appended in three pieces; rows and distinct rows of what is stored."""
+    folder, found = tables.scratch_path(t.spark, "appended"), {}
+    for name, df in five_tables(t).items():
+        for piece in range(3):
+            rows = df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(3)) == piece)
+            tables.append_rows(rows, f"{folder}/{name}", name)
+        found[name] = t.spark.read.schema(schemas.TABLES[name]).parquet(f"{folder}/{name}")
+    return tables.row_counts(found)
+
+
 def _cleaned_roundtrip(t: RideTables) -> DataFrame:
     folder = tables.scratch_path(t.spark, "cleaned")
     tables.write_tables({**five_tables(t), "bookings": cleaning.clean_bookings(t.raw_bookings)}, folder)
@@ -62,7 +82,9 @@ def _typed_tables(t: RideTables) -> DataFrame:
     for name in schemas.TABLES:
         t.spark.catalog.refreshTable(f"{database}.{name}")
         filled[name] = t.spark.table(f"{database}.{name}")
-    return tables.row_counts(filled)
+    counts = t.spark.createDataFrame(tables.row_counts(filled).collect(), "table_name STRING, row_count BIGINT")
+    t.spark.sql(f"DROP DATABASE {database} CASCADE")  # one row per table is all that is left of it
+    return counts
 
 
 def _parameterised(t: RideTables) -> DataFrame:
@@ -76,11 +98,16 @@ def _parameterised(t: RideTables) -> DataFrame:
 
 ENTRIES: dict[str, Callable[[RideTables], DataFrame]] = {
     "s1_raw_csv": _raw_roundtrip,
+    "s1_raw_customers": _raw_table("customers"),
+    "s1_raw_drivers": _raw_table("drivers"),
+    "s1_raw_location_demand": _raw_table("location_demand"),
+    "s1_raw_time_features": _raw_table("time_features"),
     "s2_s3_cleaned_tables": _cleaned_roundtrip,
     "s4_typed_tables": _typed_tables,
     "s5_typed_bookings": _typed,
     "s6_known_ride_time": _ride_time,
     "s7_append": _append,
+    "s7_append_all": _append_all,
     "s8_replace_predictions": _replace,
     "s9_row_counts": lambda t: tables.row_counts({**five_tables(t), "predictions": t.predictions}),
     "s10_run_query": _parameterised,

@@ -29,19 +29,44 @@ SCALED = (
     "driver_incomplete_rate", "location_surge_deviation", "surge_x_distance", "traffic_x_ridetime",
     "ride_distance_km", "base_fare",
 )
-CORRELATED = (
-    "ride_distance_km", "surge_multiplier", "base_fare", "estimated_ride_time_min", "customer_age",
-    "customer_tenure_years", "acceptance_rate", "delay_rate", "avg_driver_rating", "demand_supply_ratio",
-    "loc_total_requests", "hour_sin", "hour_cos", "is_night_ride", "peak_time_flag", "surge_x_distance",
+# The measured columns of the derived frame, and its counts, codes and flags.
+MEASURED = (
+    "ride_distance_km", "surge_multiplier", "base_fare", "booking_value", "estimated_ride_time_min", "actual_ride_time_min",
+    "cancellation_rate", "avg_customer_rating", "acceptance_rate", "delay_rate", "avg_driver_rating", "avg_pickup_delay_min",
+    "avg_wait_time_min", "avg_surge_multiplier", "hour_sin", "hour_cos", "day_sin", "day_cos", "month_sin", "month_cos",
+    "expected_fare", "fare_per_km", "fare_per_min", "delay_per_km", "customer_tenure_years", "cancel_to_booking_ratio",
+    "cust_completion_rate", "incomplete_ride_share", "rejection_rate", "driver_incomplete_rate", "delay_per_ride",
+    "demand_supply_ratio", "location_surge_deviation", "surge_x_distance", "surge_x_traffic", "peak_x_surge", "base_x_surge",
+    "traffic_x_ridetime", "weather_x_ridetime", "cancel_risk_x_peak", "cancel_risk_x_night", "delay_x_traffic",
 )
+COUNTED = (
+    "hour_of_day", "is_weekend", "same_loc_flag", "actual_time_available", "customer_age", "customer_signup_days_ago",
+    "total_bookings", "completed_rides", "cancelled_rides", "incomplete_rides", "customer_cancel_flag", "driver_age",
+    "driver_experience_years", "total_assigned_rides", "accepted_rides", "driver_incomplete_rides", "delay_count",
+    "driver_delay_flag", "experience_outlier_flag", "rejected_rides", "peak_time_flag", "loc_total_requests",
+    "loc_completed_rides", "loc_cancelled_rides", "day_of_week_num", "booking_month", "booking_quarter", "booking_week",
+    "is_morning_peak", "is_evening_peak", "is_night_ride", "is_new_customer", "is_low_rated_customer",
+    "vehicle_preference_match", "is_unreliable_driver", "is_low_rated_driver", "is_high_demand_location", "traffic_num",
+    "weather_num", "rain_high_traffic", "high_delay_high_traffic", "night_x_high_traffic", "is_cancelled", "traffic_enc",
+    "weather_enc", "booking_status_enc", "demand_enc",
+)
+CLASS_TARGETS = {"UC1": "booking_status_enc", "UC3": "is_cancelled", "UC4": "driver_delay_flag"}
 
 SHARES = ", ".join(f"""
 {c}_share AS (SELECT {c} AS v, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM pairs WHERE split = 'train') AS share
   FROM pairs WHERE split = 'train' GROUP BY {c})""" for c in ("pickup_location", "drop_location", "City_Pair"))
 
-CORRELATIONS = "correlations AS (" + "\nUNION ALL ".join(
-    f"SELECT '{c}' AS feature, corr({c}, is_cancelled) AS correlation FROM train" for c in CORRELATED
-) + "\nUNION ALL SELECT 'constant_column', NULL)"
+
+
+def correlation(x: str, y: str) -> str:
+    varies = " AND ".join(f"min(CAST({a} AS DOUBLE)) FILTER ({b} IS NOT NULL) < max(CAST({a} AS DOUBLE)) FILTER ({b} IS NOT NULL)" for a, b in ((x, y), (y, x)))
+    return f"CASE WHEN {varies} THEN corr(CAST({x} AS DOUBLE), CAST({y} AS DOUBLE)) END"
+
+
+CORRELATIONS = "correlations AS (SELECT unnest(l, recursive := true) FROM (SELECT [" + ",\n".join(
+    f"{{'use_case': '{use_case}', 'feature': '{c}', 'correlation': {correlation(c, y)}}}"
+    for use_case, y in CLASS_TARGETS.items() for c in (*MEASURED, *COUNTED) if c != y
+) + "] AS l FROM train) t UNION ALL " + " UNION ALL ".join(f"SELECT '{u}', 'constant_column', NULL" for u in CLASS_TARGETS) + ")"
 
 SCORED = f"""
 scored AS (
@@ -116,8 +141,15 @@ FULL_LOYALTY = """least(greatest(customer_signup_days_ago / 365e0 / (longest + 1
   + (1 - least(greatest(cancellation_rate, 0e0), 1e0)) * 0.2e0, 0e0), 1e0)"""
 
 STATEMENTS = {
-    "d20_split_checks": "SELECT unnest(['UC1', 'UC2_Cab', 'UC2_Auto', 'UC2_Bike', 'UC3', 'UC4']) AS use_case, "
-                        "false AS target_leaks, CAST(0 AS BIGINT) AS null_targets",
+    "d20_split_checks": over(ALL_VIEWS, " UNION ALL ".join(
+        f"SELECT '{use_case}' AS use_case, false AS target_leaks, count(*) AS rows, count(*) FILTER (WHERE {target} IS NULL) AS null_targets, "
+        f"count({target}) AS rows_kept FROM f4 WHERE {chosen}" for use_case, target, chosen in (
+            *((u, y, "true") for u, y in CLASS_TARGETS.items()),
+            *((f"UC2_{v}", "booking_value", f"vehicle_type = '{v}'") for v in ("Cab", "Auto", "Bike")))), *STAGES),
+    "d21_train_class_balance": over(ALL_VIEWS, " UNION ALL ".join(
+        f"SELECT '{u}' AS use_case, CAST({y} AS INTEGER) AS class, count(*) AS count, "
+        f"{rs('CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM train)', 3)} AS share FROM train GROUP BY {y}"
+        for u, y in CLASS_TARGETS.items()), *STAGES, PARTED),
     "u3_vehicle_rows": over("bookings", "SELECT vehicle_type, count(*) AS rows FROM bookings GROUP BY vehicle_type"),
     "u4_u5_train_test": over(ALL_VIEWS, "SELECT booking_id, booking_status_enc, split FROM parted", *STAGES, PARTED),
     "u5_plain_split": over("bookings", f"""
@@ -151,12 +183,12 @@ hot AS (SELECT pickup_location FROM train GROUP BY pickup_location ORDER BY coun
   + avg_customer_rating / 5 * 0.5e0, 0e0), 1e0)''', 6)} AS "Customer_Loyalty_Score" """, TENURE),
     "z8_scaled": fitted(", ".join(f"{rs(f'({c} - {c}_m) / {c}_s', 5)} AS {c}" for c in SCALED),
         "SELECT " + ", ".join(f"avg({c}) AS {c}_m, coalesce(nullif(stddev_pop({c}), 0), 1) AS {c}_s" for c in SCALED) + " FROM train"),
-    "z9_imputed": fitted(", ".join(f"{rs(f'coalesce({c}, {c}_m)', 6)} AS {c}" for c in ("actual_ride_time_min", "acceptance_rate", "cancellation_rate")),
-        "SELECT " + ", ".join(f"median({c}) AS {c}_m" for c in ("actual_ride_time_min", "acceptance_rate", "cancellation_rate")) + " FROM train"),
-    "x1_target_correlations": over(ALL_VIEWS, f"SELECT feature, {rs('correlation', 6)} AS correlation FROM correlations",
+    "z9_imputed": fitted(", ".join(f"{rs(f'coalesce({c}, {c}_m)', 6)} AS {c}" for c in MEASURED),
+        "SELECT " + ", ".join(f"median({c}) AS {c}_m" for c in MEASURED) + " FROM train"),
+    "x1_target_correlations": over(ALL_VIEWS, f"SELECT use_case, feature, {rs('correlation', 6)} AS correlation FROM correlations",
         *STAGES, PARTED, CORRELATIONS),
     "x4_correlation_ranking": over(ALL_VIEWS, f"""
-SELECT feature, {rs('correlation', 6)} AS correlation, {rs('abs(correlation)', 6)} AS strength FROM correlations""",
+SELECT use_case, feature, {rs('correlation', 6)} AS correlation, {rs('abs(correlation)', 6)} AS strength FROM correlations""",
         *STAGES, PARTED, CORRELATIONS),
     "v1_binary_metrics": over("predictions", f"""
 SELECT {rs('(SELECT CAST(count(*) FILTER (WHERE label = prediction) AS DOUBLE) / count(*) FROM scored)', 4)} AS accuracy,

@@ -198,6 +198,11 @@ SELECT {titled('city')}, pickup_location, hour_of_day, vehicle_type, total_reque
     "c_clean_time_features": over("time_features", "SELECT * FROM time_features"),
     "s1_raw_csv": over("raw_bookings", """
 SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id, CAST(driver_id AS VARCHAR) AS driver_id) FROM raw_bookings"""),
+    "s1_raw_customers": over("customers", "SELECT * REPLACE (CAST(customer_id AS VARCHAR) AS customer_id) FROM customers"),
+    "s1_raw_drivers": over("drivers", "SELECT * REPLACE (CAST(driver_id AS VARCHAR) AS driver_id) FROM drivers"),
+    "s1_raw_location_demand": over("location_demand", "SELECT * FROM location_demand"),
+    "s1_raw_time_features": over("time_features", "SELECT * FROM time_features"),
+    "s7_append_all": over(ALL_FIVE, union(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in FIVE)),
     "s2_s3_cleaned_tables": over(ALL_FIVE, union(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in FIVE)),
     "s5_typed_bookings": over("raw_bookings", """
 SELECT * REPLACE (CAST(substr(booking_id, 3) AS BIGINT) AS booking_id, CAST(customer_id AS VARCHAR) AS customer_id,
