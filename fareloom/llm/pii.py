@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.llm.frames import stored, text_column
-from fareloom.llm.spans import by_kind, kept, located, named, written
+from fareloom.llm.spans import by_kind, kept, located, named, once, written
 
 # The forms of the base scan. Possessive parts and conditions on the character before only save
 # time: they match the same strings.
@@ -36,7 +36,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-CONTEXT = 80  # characters next to an instance in which its neighbour word is looked for
+CONTEXT = 80  # characters next to an instance in which its neighbour word is looked for; a longer word counts by these alone
 
 
 def valid_ip(found: Column) -> Column:
@@ -94,11 +94,17 @@ def instances(text: Column) -> Column:
     spans = F.transform(whole, lambda s: F.struct(
         s["start"].alias("start"), (s["start"] + F.length(bare(s["found"]))).alias("end"), bare(s["found"]).alias("found")))
     word = lambda part, pattern: F.lower(F.regexp_replace(F.regexp_extract(part, pattern, 1), r"[^\p{L}\p{N}:=#]", ""))
-    before = lambda s: F.substring(text, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
-    after = lambda s: F.substring(text, s["end"] + 1, F.lit(CONTEXT))
-    return F.transform(spans, lambda s: F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), s["found"].alias("found"),
-        word(before(s), r"(\S+)\s*$").alias("left"), word(after(s), r"^\s*(\S+)").alias("right")))
+    before = lambda c, s: F.slice(c, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
+    after = lambda c, s: F.slice(c, s["end"] + 1, F.lit(CONTEXT))
+
+    def described(both: Column) -> Column:  # the text by characters, so that a place in it costs nothing to reach
+        return F.transform(both["spans"], lambda s: F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), s["found"].alias("found"),
+            word(F.array_join(before(both["letters"], s), ""), r"(\S+)\s*$").alias("left"),
+            word(F.array_join(after(both["letters"], s), ""), r"^\s*(\S+)").alias("right")))
+
+    letters = F.when(text.rlike("[0-9@]"), F.split(text, "")).otherwise(F.array().cast("array<string>"))
+    return once(F.struct(spans.alias("spans"), letters.alias("letters")), described)
 
 
 def scored_instances(occurrences: DataFrame, rounds: int, support: float, accept: float) -> DataFrame:
