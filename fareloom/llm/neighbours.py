@@ -6,11 +6,13 @@
    R = m a + b bits (b < m), then one of the first b + 1 substrings differs in at most a bits or one of the others in at most
    a - 1, so that probing these buckets finds every code within the Hamming radius.
 3. Codes within the radius are ranked by their exact distance in double precision.
-4. Queries that got fewer than k rows from all blocks lie where codes are sparse: one radius for all is too small there, and how
-   much larger it must be is not known. They are searched again without a radius, so that they get their true neighbours.
+4. Queries that got fewer than k rows from all blocks lie where codes are sparse: one radius for all is too small there. They
+   probe the same buckets again with a radius that doubles until the k found are certain, or until it covers the code. They are
+   certain when no code outside the radius can be nearer: a code that differs in more than r bits crosses more than r of
+   the planes, so its vector is at least as far as the r + 1 smallest distances of the query from the planes add up to.
 
-The radius is learned too: a bounded number of vectors is searched exactly, and the radius is the `reach` quantile of the
-Hamming distances to their true neighbours. Where vectors have structure this is small and few buckets are probed; where all
+The radius is learned too: 64 vectors, equally spaced in the sample by id, are searched exactly, and the radius is the `reach`
+quantile of the Hamming distances to their true neighbours. Where vectors have structure this is small and few buckets are probed; where all
 directions are alike, true neighbours are hardly nearer than the rest, and a large part of the codes must be looked at.
 
 Queries and candidates are dealt into blocks; each task indexes one block of candidates and searches one block of
@@ -47,9 +49,13 @@ class Codes:
     centre: np.ndarray
     rotation: np.ndarray
 
+    def turned(self, rows: np.ndarray) -> np.ndarray:
+        """Signed distances from the planes, one per bit."""
+        return (rows - self.centre) @ self.rotation
+
     def of(self, rows: np.ndarray) -> np.ndarray:
         """Substrings of the codes, one row per vector."""
-        bits = (rows - self.centre) @ self.rotation > 0
+        bits = self.turned(rows) > 0
         width = -(-bits.shape[1] // SUBSTRING_BITS) * SUBSTRING_BITS
         bits = np.pad(bits, ((0, 0), (0, width - bits.shape[1])))
         return np.packbits(bits, axis=1).view(">u2").astype(np.uint16)
@@ -110,6 +116,24 @@ def nearest(query: np.ndarray, rows: np.ndarray, nodes: np.ndarray, k: int) -> t
     return nodes[best], distance[best]
 
 
+def beyond(turned: np.ndarray) -> np.ndarray:
+    """Entry r: the least squared distance to a vector whose code differs in more than r bits; infinite if none can."""
+    return np.append(np.cumsum(np.sort(turned ** 2)), np.inf)
+
+
+def certain(query: np.ndarray, own: int, code: np.ndarray, least: np.ndarray, index: SubstringIndex, rows: np.ndarray,
+            nodes: np.ndarray, k: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k nearest rows of an indexed block but the query's own, by a growing radius; all rows if there are fewer."""
+    while True:
+        near = index.within(code, radius)
+        near = near[nodes[near] != own]
+        ids, distance = nearest(query, rows[near], nodes[near], k)
+        # The margin covers rounding in the rotation: a row that only ties must not be missed.
+        if radius >= len(least) - 1 or (len(ids) == k and distance[-1] ** 2 * (1 + 1e-9) + 1e-12 < least[radius]):
+            return ids, distance
+        radius = min(max(2 * radius, radius + code.shape[0]), len(least) - 1)
+
+
 def learned_radius(numbers: DataFrame, codes: Codes, rows: np.ndarray, k: int, reach: float) -> int:
     """The Hamming radius that holds the share `reach` of the true neighbours of a few vectors, searched exactly."""
     probes = rows[np.linspace(0, len(rows) - 1, min(CALIBRATION_ROWS, len(rows))).astype(int)]
@@ -155,8 +179,8 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, bits: int = 64, re
     deal = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(n)).cast("int")
     keys = ["asked", "block"]
 
-    def found(some: DataFrame, count: int, within: int | None) -> DataFrame:
-        """The k best of each of `count` queries, among codes within a radius or among all."""
+    def found(some: DataFrame, count: int, growing: bool) -> DataFrame:
+        """The k best of each of `count` queries, among codes within the learned radius or a growing one."""
         query_blocks = max(1, -(-count // query_block))
         asked = some.select(
             deal(query_blocks, 1).alias("asked"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("query"), "node", "vector")
@@ -170,13 +194,16 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, bits: int = 64, re
                 candidates, candidate_nodes = values[~query], node[~query]
                 if not len(candidates) or not query.any():
                     continue
-                index = None if within is None else SubstringIndex(codes.of(candidates))
-                asked_codes = codes.of(values[query])
+                index = SubstringIndex(codes.of(candidates))
+                turned, asked_codes = codes.turned(values[query]), codes.of(values[query])
                 out: list[tuple[np.ndarray, ...]] = []
-                for own, vector, code in zip(node[query], values[query], asked_codes):
-                    near = np.arange(len(candidates)) if index is None else index.within(code, within)
-                    near = near[candidate_nodes[near] != own]
-                    ids, distance = nearest(vector, candidates[near], candidate_nodes[near], k)
+                for own, vector, code, line in zip(node[query], values[query], asked_codes, turned):
+                    if growing:
+                        ids, distance = certain(vector, own, code, beyond(line), index, candidates, candidate_nodes, k, radius)
+                    else:
+                        near = index.within(code, radius)
+                        near = near[candidate_nodes[near] != own]
+                        ids, distance = nearest(vector, candidates[near], candidate_nodes[near], k)
                     out.append((np.full(len(ids), own), ids, distance))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["query_id", "vec_id", "score"])
 
@@ -184,12 +211,10 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, bits: int = 64, re
         order = Window.partitionBy("query_id").orderBy("score", "vec_id")
         return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-    if total.n <= 4 * k:
-        return found(queries, total.q, None)
-    first = stored(found(queries, total.q, radius), "neighbour-first")
+    first = stored(found(queries, total.q, False), "neighbour-first")
     full = first.where(F.col("rank") == k).select("query_id")
     short = stored(queries.join(full, queries["node"] == full["query_id"], "left_anti"), "neighbour-short")
     left = short.count()
     if not left:
         return first
-    return first.join(full, "query_id", "left_semi").select(first.columns).unionByName(found(short, left, None))
+    return first.join(full, "query_id", "left_semi").select(first.columns).unionByName(found(short, left, True))

@@ -106,3 +106,21 @@ def test_index_finds_every_code_within_the_radius():
     for radius in (0, 3, 4, 17, 30):
         for code in (codes[7], codes[9] ^ np.array([1, 0, 3, 0], np.uint16)):
             assert index.within(code, radius).tolist() == np.flatnonzero(neighbours.hamming(code, codes) <= radius).tolist()
+
+
+def test_growing_radius_is_certain():
+    """However small the first radius, the rows found are the true ones, and no sum of plane distances exceeds a true distance."""
+    rng = np.random.default_rng(6)
+    rows = rng.standard_normal((400, 12)) * np.linspace(3, 0.2, 12)
+    codes = neighbours.learned_codes(rows, 64)
+    index = neighbours.SubstringIndex(codes.of(rows))
+    nodes = np.arange(400)
+    for own in range(0, 400, 23):
+        code, least = codes.of(rows[own:own + 1])[0], neighbours.beyond(codes.turned(rows[own:own + 1])[0])
+        distance = np.sqrt(((rows - rows[own]) ** 2).sum(axis=1))
+        differ = neighbours.hamming(code, codes.of(rows))
+        assert all(distance[i] ** 2 + 1e-9 >= least[differ[i] - 1] for i in nodes if differ[i])
+        truth = sorted((distance[i], i) for i in nodes if i != own)
+        for k in (1, 10, 1_000):
+            ids, found = neighbours.certain(rows[own], own, code, least, index, rows, nodes, k, 0)
+            assert list(zip(found, ids)) == truth[:k]
