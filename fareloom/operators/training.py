@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
@@ -14,6 +15,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from pyspark.util import inheritable_thread_target
 
 from fareloom.operators import evaluation
 from fareloom.operators.splitting import mark_share
@@ -31,6 +33,11 @@ OUTCOME_SIZES = {"boost_rounds": 300, "boost_depth": 6, "boost_step": 0.05, "boo
 # Search ranges, (low, high, logarithmic) for numbers with a fraction.
 SEARCH_SPACE = {"maxIter": (75, 300), "maxDepth": (4, 7), "stepSize": (0.05, 0.2, True),
                 "subsamplingRate": (0.7, 1.0, False), "minInstancesPerNode": (1, 50)}
+# Settings tried per task.
+SEARCH_TRIALS = {"UC1": 50, "UC3": 30, "UC4": 30}
+# Of a search, all settings run for this share of their rounds, and this share of them (the best) for all rounds.
+FIRST_SHARE = 0.25
+PARALLEL_FITS = 8
 OVERSAMPLE_SHARE = 0.5
 NEIGHBOURS = 5
 SLICE_ROWS = 5_000
@@ -171,7 +178,7 @@ def classifiers(classes: int = 2, sizes: Mapping[str, float] = CLASSIFIER_SIZES,
                                                   family="multinomial" if classes > 2 else "binomial"),
         "Random Forest": RandomForestClassifier(numTrees=int(sizes["forest_trees"]), maxDepth=int(sizes["forest_depth"]),
                                                 minInstancesPerNode=int(sizes["min_leaf"]), seed=seed, weightCol="weight"),
-        "Gradient Boosting": OneVsRest(classifier=boosted, weightCol="weight") if classes > 2 else boosted,
+        "Gradient Boosting": OneVsRest(classifier=boosted, weightCol="weight", parallelism=classes) if classes > 2 else boosted,
     }
 
 
@@ -190,13 +197,25 @@ def outcome_classifier(sizes: Mapping[str, float] = OUTCOME_SIZES, seed: int = S
     boosted = GBTClassifier(maxIter=int(sizes["boost_rounds"]), maxDepth=int(sizes["boost_depth"]),
                             stepSize=sizes["boost_step"], subsamplingRate=sizes["boost_rows"],
                             minInstancesPerNode=int(sizes["min_leaf"]), seed=seed, weightCol="weight")
-    return OneVsRest(classifier=boosted, weightCol="weight")
+    return OneVsRest(classifier=boosted, weightCol="weight", parallelism=len(OUTCOME_WEIGHTS))
 
 
 def fit(estimator: Estimator, train: DataFrame, features: Sequence[str]) -> PipelineModel:
     return Pipeline(stages=[assembler(features), estimator]).fit(train)
 
 
+def fit_all(estimators: Mapping[str, Estimator], train: DataFrame, features: Sequence[str],
+            parallelism: int = PARALLEL_FITS) -> dict[str, PipelineModel]:
+    """Fits several estimators at a time over one frame. A boosted model is a long row of short jobs, which leave most
+    cores idle; the models are the same whatever the parallelism, as each has its own seed."""
+    def task(name: str):
+        return inheritable_thread_target(train.sparkSession)(lambda: (name, fit(estimators[name], train, features)))
+
+    with ThreadPool(max(1, min(parallelism, len(estimators)))) as pool:
+        found = dict(pool.map(lambda run: run(), [task(name) for name in estimators]))
+    return {name: found[name] for name in estimators}
+
+
 def positive_probability() -> Column:
     return vector_to_array(F.col("probability"))[1]
 
@@ -245,7 +264,7 @@ def train_binary(train: DataFrame, test: DataFrame, features: Sequence[str], tar
                  candidates: Mapping[str, Estimator] | None = None) -> Trained:
     """Balanced candidates; the best area under the ROC curve wins (the first on a tie)."""
     train, test = with_class_weights(_labelled(train, target), "label").cache(), _labelled(test, target)
-    models = {n: fit(e, train, features) for n, e in (candidates or classifiers(2)).items()}
+    models = fit_all(candidates or classifiers(2), train, features)
     train.unpersist()
     metrics = {n: classification_scores(m, test, 2) for n, m in models.items()}
     return Trained(models, metrics, max(metrics, key=lambda n: metrics[n]["auc"]))
@@ -257,7 +276,7 @@ def train_outcome(train: DataFrame, test: DataFrame, features: Sequence[str], ta
     """Balanced candidates for comparison, and the weighted model on oversampled rows, which is always the final one."""
     train, test = _labelled(train, target), _labelled(test, target)
     balanced = with_class_weights(train, "label").cache()
-    models = {n: fit(e, balanced, features) for n, e in (candidates or classifiers(3)).items()}
+    models = fit_all(candidates or classifiers(3), balanced, features)
     balanced.unpersist()
     cancelled = train.filter(F.col("label") == 1).count()
     enriched = oversample(train, key, features, "label", 2, int(cancelled * oversample_share))
@@ -277,7 +296,7 @@ def train_fare(train: DataFrame, test: DataFrame, features: Sequence[str], targe
                candidates: Mapping[str, Estimator] | None = None) -> Trained:
     """Fare candidates of one vehicle type; the best R2 on the original scale wins."""
     train, test = _labelled(train, target).cache(), _labelled(test, target)
-    models = {n: fit(e, train, features) for n, e in (candidates or regressors()).items()}
+    models = fit_all(candidates or regressors(), train, features)
     train.unpersist()
     metrics = {n: regression_scores(m, test) for n, m in models.items()}
     return Trained(models, metrics, max(metrics, key=lambda n: metrics[n]["r2"]))
@@ -300,30 +319,44 @@ def random_settings(trials: int, seed: int = SEED, space: Mapping[str, tuple] =
 
 def _tunable(settings: Mapping[str, float], classes: int, seed: int = SEED) -> Estimator:
     boosted = GBTClassifier(seed=seed, weightCol="weight", **settings)
-    return OneVsRest(classifier=boosted, weightCol="weight") if classes > 2 else boosted
+    return OneVsRest(classifier=boosted, weightCol="weight", parallelism=classes) if classes > 2 else boosted
 
 
 def search(train: DataFrame, validation: DataFrame, features: Sequence[str], target: str, classes: int, trials: int,
-           seed: int = SEED, space: Mapping[str, tuple] = SEARCH_SPACE) -> tuple[dict[str, float], list[dict]]:
-    """Best of `trials` random settings by weighted F1 (three classes) or area under the ROC curve (two)."""
+           seed: int = SEED, space: Mapping[str, tuple] = SEARCH_SPACE, first_share: float = FIRST_SHARE,
+           parallelism: int = PARALLEL_FITS) -> tuple[dict[str, float], list[dict]]:
+    """Best of `trials` random settings by weighted F1 (three classes) or area under the ROC curve (two).
+
+    All settings run for `first_share` of their rounds; that share of them (at least one; of equally good ones the earlier
+    drawn) then runs for all rounds, and the best of these wins. `stopped` marks the others, whose score is that of the
+    first stage. The result does not depend on `parallelism`.
+    """
     metric = "f1" if classes > 2 else "auc"
     train = with_class_weights(_labelled(train, target), "label").cache()
     validation = _labelled(validation, target).cache()
-    tried = []
-    for settings in random_settings(trials, seed, space):
-        model = fit(_tunable(settings, classes, seed), train, features)
-        tried.append({**settings, "score": classification_scores(model, validation, classes)[metric]})
+    drawn = random_settings(trials, seed, space)
+
+    def scores(chosen: Sequence[int], share: float) -> dict[int, float]:
+        estimators = {str(i): _tunable({**drawn[i], "maxIter": max(1, round(drawn[i]["maxIter"] * share))}, classes, seed)
+                      for i in chosen}
+        models = fit_all(estimators, train, features, parallelism)
+        return {int(i): classification_scores(m, validation, classes)[metric] for i, m in models.items()}
+
+    found = scores(range(trials), first_share)
+    ranked = sorted(found, key=lambda i: (-found[i], i))
+    ahead = ranked[:max(1, round(trials * first_share))]
+    found.update(scores(ahead, 1.0))
     train.unpersist()
     validation.unpersist()
-    best = max(tried, key=lambda t: t["score"])
-    return {k: v for k, v in best.items() if k != "score"}, tried
+    tried = [{**settings, "score": found[i], "stopped": i not in ahead} for i, settings in enumerate(drawn)]
+    return drawn[max(sorted(ahead), key=found.get)], tried
 
 
 def retrain(train: DataFrame, test: DataFrame, features: Sequence[str], target: str, classes: int,
             settings: Mapping[str, Mapping[str, float]], seed: int = SEED) -> Trained:
     """Refit each named setting on the full training part; the best F1 wins (the first on a tie)."""
     train, test = with_class_weights(_labelled(train, target), "label").cache(), _labelled(test, target)
-    models = {n: fit(_tunable(s, classes, seed), train, features) for n, s in settings.items()}
+    models = fit_all({n: _tunable(s, classes, seed) for n, s in settings.items()}, train, features)
     train.unpersist()
     metrics = {n: classification_scores(m, test, classes) for n, m in models.items()}
     return Trained(models, metrics, max(metrics, key=lambda n: metrics[n]["f1"]))

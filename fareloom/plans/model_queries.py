@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -17,11 +18,29 @@ from fareloom.sources.ride_views import StoredRideTables
 
 Build = Callable[[StoredRideTables], DataFrame]
 
-# Model sizes of the catalog runs. Data is never reduced; the library defaults are the full sizes.
-QUICK = {"logistic_iterations": 50, "forest_trees": 20, "forest_depth": 5, "min_leaf": 5, "boost_rounds": 10,
-         "boost_depth": 4, "boost_step": 0.1, "boost_rows": 0.8}
-QUICK_SPACE = {"maxIter": (3, 8), "maxDepth": (3, 4), "stepSize": (0.05, 0.2, True), "subsamplingRate": (0.7, 1.0, False),
-               "minInstancesPerNode": (1, 50)}
+
+@dataclass(frozen=True)
+class Sizes:
+    """Sizes of the models of the catalog; data is never reduced. `rounds` is that of every boosted model."""
+
+    classifiers: Mapping[str, float]
+    regressors: Mapping[str, float]
+    outcome: Mapping[str, float]
+    space: Mapping[str, tuple]
+    trials: Mapping[str, int]
+
+
+def sizes_of(rounds: int, trials: int) -> Sizes:
+    """The library's sizes, but for the boosting rounds and the number of settings tried per task."""
+    boosting = {"boost_rounds": rounds}
+    return Sizes({**training.CLASSIFIER_SIZES, **boosting}, {**training.REGRESSOR_SIZES, **boosting},
+                 {**training.OUTCOME_SIZES, **boosting},
+                 {**training.SEARCH_SPACE, "maxIter": (max(1, rounds // 4), rounds)},
+                 {use_case: trials for use_case in training.SEARCH_TRIALS})
+
+
+# README gives the measured times behind the two numbers.
+SIZES = sizes_of(rounds=40, trials=6)
 
 
 # Shared stages -----------------------------------------------------------------------------------------------------
@@ -250,31 +269,31 @@ def _rule_table(t: StoredRideTables) -> DataFrame:
 
 # Training ----------------------------------------------------------------------------------------------------------
 
-def _quick_classifiers(classes: int) -> dict:
-    return training.classifiers(classes, QUICK)
+def _classifiers(classes: int) -> dict:
+    return training.classifiers(classes, SIZES.classifiers)
 
 
 def cancel_models(t: StoredRideTables) -> training.Trained:
     s = one_split(t, "UC3")
-    return t.kept("models UC3", lambda: training.train_binary(s.train, s.test, s.features, s.target, _quick_classifiers(2)))
+    return t.kept("models UC3", lambda: training.train_binary(s.train, s.test, s.features, s.target, _classifiers(2)))
 
 
 def delay_models(t: StoredRideTables) -> training.Trained:
     s = one_split(t, "UC4")
-    return t.kept("models UC4", lambda: training.train_binary(s.train, s.test, s.features, s.target, _quick_classifiers(2)))
+    return t.kept("models UC4", lambda: training.train_binary(s.train, s.test, s.features, s.target, _classifiers(2)))
 
 
 def outcome_models(t: StoredRideTables) -> training.Trained:
     s = one_split(t, "UC1")
     return t.kept("models UC1", lambda: training.train_outcome(
-        s.train, s.test, s.features, s.target, candidates=_quick_classifiers(3),
-        final=training.outcome_classifier({**training.OUTCOME_SIZES, "boost_rounds": 10, "boost_depth": 4})))
+        s.train, s.test, s.features, s.target, candidates=_classifiers(3),
+        final=training.outcome_classifier(SIZES.outcome)))
 
 
 def fare_models(t: StoredRideTables, use_case: str) -> training.Trained:
     s = one_split(t, use_case)
     return t.kept(f"models {use_case}", lambda: training.train_fare(
-        s.train, s.test, s.features, s.target, training.regressors(QUICK)))
+        s.train, s.test, s.features, s.target, training.regressors(SIZES.regressors)))
 
 
 def _metric_rows(t: StoredRideTables, *trained: tuple[str, training.Trained]) -> DataFrame:
@@ -302,34 +321,51 @@ def _oversampled(t: StoredRideTables) -> DataFrame:
 def _equalised(t: StoredRideTables) -> DataFrame:
     s = one_split(t, "UC1")
     return _metric_rows(t, ("UC1", training.train_equalised(
-        s.train, s.test, s.features, s.target, 3, _quick_classifiers(3)["Random Forest"])))
+        s.train, s.test, s.features, s.target, 3, _classifiers(3)["Random Forest"])))
 
 
-def tuned_settings(t: StoredRideTables) -> tuple[dict, list[dict]]:
-    s = one_split(t, "UC3")
-    subset = splitting.tuning_subset(s.train, "booking_id", s.target)
-    rest = splitting.mark_share(s.train, "booking_id", 0.4, s.target).filter(~F.col("chosen")).drop("chosen")
-    return t.kept("search UC3", lambda: training.search(
-        subset, rest, s.features, s.target, 2, trials=2, space=QUICK_SPACE))
+def tuned_settings(t: StoredRideTables, use_case: str) -> tuple[dict, list[dict]]:
+    def build() -> tuple[dict, list[dict]]:
+        s = one_split(t, use_case)
+        subset = splitting.tuning_subset(s.train, "booking_id", s.target)
+        rest = splitting.mark_share(s.train, "booking_id", 0.4, s.target).filter(~F.col("chosen")).drop("chosen")
+        return training.search(subset, rest, s.features, s.target, 3 if use_case == "UC1" else 2,
+                               trials=SIZES.trials[use_case], space=SIZES.space)
+    return t.kept(f"search {use_case}", build)
 
 
 def _search(t: StoredRideTables) -> DataFrame:
-    best, tried = tuned_settings(t)
-    rows = [(i, float(x["score"]), int(x["maxIter"]), int(x["maxDepth"]), all(x[k] == v for k, v in best.items()))
-            for i, x in enumerate(tried)]
-    return rows_from(t, rows, "trial INT, score DOUBLE, max_iter INT, max_depth INT, best BOOLEAN")
+    rows = []
+    for use_case in usecases.CLASSIFICATION:
+        best, tried = tuned_settings(t, use_case)
+        rows += [(use_case, i, float(x["score"]), int(x["maxIter"]), int(x["maxDepth"]), x["stopped"],
+                  all(x[k] == v for k, v in best.items())) for i, x in enumerate(tried)]
+    return rows_from(t, rows, "use_case STRING, trial INT, score DOUBLE, max_iter INT, max_depth INT, stopped BOOLEAN, best BOOLEAN")
 
 
-def tuned_models(t: StoredRideTables) -> training.Trained:
-    s = one_split(t, "UC3")
-    return t.kept("tuned UC3", lambda: training.retrain(
-        s.train, s.test, s.features, s.target, 2, {"tuned": tuned_settings(t)[0]}))
+def tuned_models(t: StoredRideTables, use_case: str) -> training.Trained:
+    """The two best settings of the search, refitted on the whole training part."""
+    def build() -> training.Trained:
+        s = one_split(t, use_case)
+        best, tried = tuned_settings(t, use_case)
+        others = [x for x in tried if any(x[k] != v for k, v in best.items())]
+        settings = {"tuned": best}
+        if others:
+            second = max(others, key=lambda x: (not x["stopped"], x["score"]))
+            settings["runner-up"] = {k: second[k] for k in best}
+        return training.retrain(s.train, s.test, s.features, s.target, 3 if use_case == "UC1" else 2, settings)
+    return t.kept(f"tuned {use_case}", build)
+
+
+def _retrained(t: StoredRideTables) -> DataFrame:
+    return _metric_rows(t, *[(use_case, tuned_models(t, use_case)) for use_case in usecases.CLASSIFICATION])
 
 
 def _finals(t: StoredRideTables) -> DataFrame:
-    base, tuned = cancel_models(t), tuned_models(t)
-    rows = [("UC3", "roc_auc", base.metrics[base.best]["auc"], tuned.metrics[tuned.best]["auc"]),
-            ("UC4", "roc_auc", delay_models(t).metrics[delay_models(t).best]["auc"], None)]
+    rows = []
+    for use_case, base, metric in (("UC1", outcome_models(t), "f1"), ("UC3", cancel_models(t), "auc"), ("UC4", delay_models(t), "auc")):
+        tuned = tuned_models(t, use_case)
+        rows.append((use_case, {"auc": "roc_auc"}.get(metric, metric), base.metrics[base.best][metric], tuned.metrics[tuned.best][metric]))
     rows += [(f"UC2_{v}", "r2", (m := fare_models(t, f"UC2_{v}")).metrics[m.best]["r2"], None) for v in VEHICLE_TYPES]
     report = training.selection_report(rows)
     path = tables.scratch_path(t.spark, "report")
@@ -354,7 +390,7 @@ def _validated_threshold(t: StoredRideTables, use_case: str) -> float:
     marked = splitting.mark_share(s.train, usecases.KEY, VALIDATION_SHARE, s.target, seed=7, name="_held").withColumn(
         "label", F.col(s.target).cast("double"))
     seen = training.with_class_weights(marked.filter(~F.col("_held")).drop("_held"), "label")
-    model = training.fit(_quick_classifiers(2)[found.best], seen, s.features)
+    model = training.fit(_classifiers(2)[found.best], seen, s.features)
     held = tables.settled(training.scored(model, marked.filter("_held")).select("label", "score"), "validation")
     pick = evaluation.precision_threshold if use_case == "UC3" else evaluation.best_f1_threshold
     return float(pick(held).first()["threshold"])
@@ -416,7 +452,7 @@ def _settings_roundtrip(t: StoredRideTables) -> DataFrame:
     path = tables.scratch_path(t.spark, "settings")
     stored = tables.load_json(t.spark, path)
     if stored is None:
-        tables.save_json(t.spark, {"uc3": tuned_settings(t)[0]}, path)
+        tables.save_json(t.spark, {"uc3": tuned_settings(t, "UC3")[0]}, path)
         stored = tables.load_json(t.spark, path)
     return rows_from(t, [(k, float(v)) for k, v in sorted(stored["uc3"].items())], "setting STRING, value DOUBLE")
 
@@ -479,7 +515,7 @@ ENTRIES: dict[str, Build] = {
     "m7_train_cancel": lambda t: _metric_rows(t, ("UC3", cancel_models(t))),
     "m7_train_delay": lambda t: _metric_rows(t, ("UC4", delay_models(t))),
     "m8_search": _search,
-    "m9_retrain": lambda t: _metric_rows(t, ("UC3", tuned_models(t))),
+    "m9_retrain": _retrained,
     "m10_finals": _finals,
     "s12_split_store": _split_roundtrip,
     "s13_model_store": _model_roundtrip,

@@ -35,6 +35,13 @@ def sf_dir():
 
 @pytest.fixture(scope="session")
 def tables(spark, sf_dir):
+    from fareloom.plans import model_queries
     from fareloom.sources.ride_views import stored_ride_tables
 
+    # Small models: the tests hold invariants that do not depend on the sizes.
+    small = model_queries.sizes_of(rounds=6, trials=3)
+    forests = {"forest_trees": 10, "forest_depth": 5, "boost_depth": 3}
+    model_queries.SIZES = model_queries.Sizes(
+        {**small.classifiers, **forests}, {**small.regressors, **forests}, {**small.outcome, "boost_depth": 3},
+        {**small.space, "maxDepth": (3, 4)}, small.trials)
     return stored_ride_tables(spark, sf_dir)

@@ -128,3 +128,28 @@ def test_thresholds_come_from_held_training_rows_and_are_stored(tables):
     assert [r[0] for r in cancels.select("threshold").distinct().collect()] == [bounds["uc3_threshold"]]
     fares = models.ENTRIES["p8_predict_fare"](tables)
     assert fares.count() == tables.bookings.count() and fares.select("vehicle_type").distinct().count() == 3
+
+
+def test_search_is_the_same_whatever_the_parallelism(spark):
+    df, _ = imbalanced(spark)
+    rows = df.filter("label < 2").cache()
+    space = {"maxIter": (2, 4), "maxDepth": (1, 2), "stepSize": (0.05, 0.2, True), "subsamplingRate": (0.7, 1.0, False),
+             "minInstancesPerNode": (1, 10)}
+    found = [training.search(rows, rows, ["a", "b"], "label", 2, 6, space=space, first_share=0.5, parallelism=p) for p in (1, 4)]
+    assert found[0] == found[1]
+    best, tried = found[0]
+    assert sum(not x["stopped"] for x in tried) == 3 and len(tried) == 6
+    ahead = [x for x in tried if not x["stopped"]]
+    assert max(x["score"] for x in ahead) == next(x["score"] for x in ahead if all(x[k] == v for k, v in best.items()))
+
+
+def test_finals_of_every_task(tables):
+    finals = {r["use_case"]: r for r in models.ENTRIES["m10_finals"](tables).collect()}
+    assert set(finals) == {"UC1", "UC3", "UC4", "UC2_Cab", "UC2_Auto", "UC2_Bike"}
+    for use_case, r in finals.items():
+        assert (r["tuned"] is None) == use_case.startswith("UC2")
+        assert r["winner"] in ("baseline", "tuned") and (r["winner"] == "baseline" or r["tuned"] >= r["baseline"])
+    tried = models.ENTRIES["m8_search"](tables).collect()
+    assert {r["use_case"] for r in tried if r["best"]} == {"UC1", "UC3", "UC4"}
+    retrained = models.ENTRIES["m9_retrain"](tables).collect()
+    assert {(r["use_case"], r["model"]) for r in retrained} == {(u, m) for u in ("UC1", "UC3", "UC4") for m in ("tuned", "runner-up")}
