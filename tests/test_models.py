@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -143,13 +144,42 @@ def test_search_is_the_same_whatever_the_parallelism(spark):
     assert max(x["score"] for x in ahead) == next(x["score"] for x in ahead if all(x[k] == v for k, v in best.items()))
 
 
-def test_finals_of_every_task(tables):
-    finals = {r["use_case"]: r for r in models.ENTRIES["m10_finals"](tables).collect()}
+class FewRows:
+    """Stands in for the ride tables: a small made-up split per task, so that the whole chain of fits takes seconds."""
+
+    def __init__(self, spark):
+        self.spark, self.held = spark, {}
+
+    def kept(self, name, build):
+        if name not in self.held:
+            self.held[name] = build()
+        return self.held[name]
+
+    def split(self, use_case):
+        draw = random.Random(len(use_case))
+        classes = 3 if use_case == "UC1" else 2
+        rows = []
+        for i in range(160):
+            a, b = draw.gauss(0, 1), draw.gauss(0, 1)
+            y = abs(a) + 1 if use_case.startswith("UC2") else float(min(classes - 1, (a > 0) + (a + b > 0.8)))
+            rows.append((i, a, b, y))
+        df = self.spark.createDataFrame(rows, "booking_id BIGINT, a DOUBLE, b DOUBLE, y DOUBLE").coalesce(1)
+        return SimpleNamespace(train=df.filter("booking_id < 120"), test=df.filter("booking_id >= 120"), features=["a", "b"], target="y")
+
+
+def test_finals_of_every_task(spark, monkeypatch):
+    t = FewRows(spark)
+    monkeypatch.setattr(models, "one_split", lambda t, use_case: t.kept(f"split {use_case}", lambda: t.split(use_case)))
+    sizes = {"logistic_iterations": 5, "forest_trees": 3, "forest_depth": 3, "boost_rounds": 2, "boost_depth": 2}
+    monkeypatch.setattr(models, "SIZES", models.Sizes(
+        {**training.CLASSIFIER_SIZES, **sizes}, {**training.REGRESSOR_SIZES, **sizes}, {**training.OUTCOME_SIZES, **sizes},
+        {**training.SEARCH_SPACE, "maxIter": (2, 4), "maxDepth": (1, 2)}, dict.fromkeys(training.SEARCH_TRIALS, 3)))
+    finals = {r["use_case"]: r for r in models.ENTRIES["m10_finals"](t).collect()}
     assert set(finals) == {"UC1", "UC3", "UC4", "UC2_Cab", "UC2_Auto", "UC2_Bike"}
     for use_case, r in finals.items():
         assert (r["tuned"] is None) == use_case.startswith("UC2")
         assert r["winner"] in ("baseline", "tuned") and (r["winner"] == "baseline" or r["tuned"] >= r["baseline"])
-    tried = models.ENTRIES["m8_search"](tables).collect()
+    tried = models.ENTRIES["m8_search"](t).collect()
     assert {r["use_case"] for r in tried if r["best"]} == {"UC1", "UC3", "UC4"}
-    retrained = models.ENTRIES["m9_retrain"](tables).collect()
+    retrained = models.ENTRIES["m9_retrain"](t).collect()
     assert {(r["use_case"], r["model"]) for r in retrained} == {(u, m) for u in ("UC1", "UC3", "UC4") for m in ("tuned", "runner-up")}
