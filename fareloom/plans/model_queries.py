@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareloom.functions.exprs import VEHICLE_TYPES, mapped, round_stable
-from fareloom.operators import encoding, engineering, evaluation, fitted, quality, scoring, selection, splitting, training, usecases
+from fareloom.operators import artifacts, encoding, engineering, evaluation, fitted, quality, scoring, selection, splitting, training, usecases
 from fareloom.plans.dashboard import equal_width_histogram
 from fareloom.plans.feature_queries import comparable, wide_of
 from fareloom.sources import tables
@@ -324,13 +324,28 @@ def _equalised(t: StoredRideTables) -> DataFrame:
         s.train, s.test, s.features, s.target, 3, _classifiers(3)["Random Forest"])))
 
 
+def artifact_folder(t: StoredRideTables) -> str:
+    """Artifacts outlive the application where the cluster's shared folder does."""
+    return f"{tables.scratch_root(t.spark)}/artifacts"
+
+
+def fingerprint(t: StoredRideTables, use_case: str, purpose: str, sizes: object) -> str:
+    s = one_split(t, use_case)
+    return artifacts.fingerprint(s.train, {"use_case": use_case, "purpose": purpose, "sizes": sizes, "features": s.features})
+
+
 def tuned_settings(t: StoredRideTables, use_case: str) -> tuple[dict, list[dict]]:
-    def build() -> tuple[dict, list[dict]]:
+    """The best settings and all tried ones; no search where a run over the same rows and space has stored them."""
+    def search() -> tuple[dict, list[dict]]:
         s = one_split(t, use_case)
         subset = splitting.tuning_subset(s.train, "booking_id", s.target)
         rest = splitting.mark_share(s.train, "booking_id", 0.4, s.target).filter(~F.col("chosen")).drop("chosen")
         return training.search(subset, rest, s.features, s.target, 3 if use_case == "UC1" else 2,
                                trials=SIZES.trials[use_case], space=SIZES.space)
+
+    def build() -> tuple[dict, list[dict]]:
+        mark = fingerprint(t, use_case, "search", [SIZES.trials[use_case], SIZES.space])
+        return tuple(artifacts.once(t.spark, artifact_folder(t), mark, search))
     return t.kept(f"search {use_case}", build)
 
 
@@ -396,14 +411,34 @@ def _validated_threshold(t: StoredRideTables, use_case: str) -> float:
     return float(pick(held).first()["threshold"])
 
 
+def stored_set(t: StoredRideTables, use_case: str) -> artifacts.ArtifactSet:
+    """The chosen model of a classification task with all that its predictions need, as it was stored.
+
+    It is trained only if there is no complete set of the same training rows and sizes. The cancellation threshold keeps
+    to its safe range.
+    """
+    def train() -> artifacts.ArtifactSet:
+        s, bounds = one_split(t, use_case), {}
+        found = {"UC1": outcome_models, "UC3": cancel_models, "UC4": delay_models}[use_case](t)
+        if use_case == "UC3":
+            bounds = {"uc3_threshold": scoring.clamped(_validated_threshold(t, "UC3"))}
+        elif use_case == "UC4":
+            bounds = {"uc4_threshold": _validated_threshold(t, "UC4")}
+        return artifacts.ArtifactSet(found.model, s.features, s.fitted, categories(t), bounds,
+                                     {"chosen": found.best, "sizes": asdict(SIZES)}, found.metrics)
+
+    def build() -> artifacts.ArtifactSet:
+        folder, mark = artifact_folder(t), fingerprint(t, use_case, "training", asdict(SIZES))
+        found = artifacts.load_set(t.spark, folder, mark)
+        if found is None:
+            artifacts.save_set(t.spark, folder, mark, train())
+            found = artifacts.load_set(t.spark, folder, mark)
+        return found
+    return t.kept(f"artifacts {use_case}", build)
+
+
 def thresholds(t: StoredRideTables) -> dict[str, float]:
-    """Fitted once, stored, and loaded by every prediction; the cancellation threshold keeps to its safe range."""
-    def build() -> dict[str, float]:
-        path = tables.scratch_path(t.spark, "thresholds")
-        tables.save_json(t.spark, {"uc3_threshold": scoring.clamped(_validated_threshold(t, "UC3")),
-                                   "uc4_threshold": _validated_threshold(t, "UC4")}, path)
-        return tables.load_json(t.spark, path)
-    return t.kept("thresholds", build)
+    return {**stored_set(t, "UC3").thresholds, **stored_set(t, "UC4").thresholds}
 
 
 def _prepared(t: StoredRideTables, use_case: str) -> DataFrame:
@@ -419,8 +454,8 @@ def model_predictions(t: StoredRideTables) -> DataFrame:
             rows = _prepared(t, f"UC2_{v}").filter(F.col(engineering.VEHICLE) == v)
             parts[v] = (fare_models(t, f"UC2_{v}").model, rows)
         fares = scoring.fare_predictions(parts)
-        found = cancel_models(t)
-        bound = thresholds(t)["uc3_threshold"]
+        found = stored_set(t, "UC3")
+        bound = found.thresholds["uc3_threshold"]
         cancels = scoring.cancel_predictions(found.model, _prepared(t, "UC3"))
         scored = scoring.score_bookings(t.bookings, tables.settled(fares, "fares"), cancels)
         return scoring.build_predictions(scored, bound, t.location_demand)
@@ -434,11 +469,19 @@ def _predicted_fares(t: StoredRideTables) -> DataFrame:
         .withColumn("vehicle_type", F.lit(v)) for v in VEHICLE_TYPES])
 
 
-def _model_roundtrip(t: StoredRideTables) -> DataFrame:
-    """Scores of a model that was stored and loaded again."""
-    folder = tables.scratch_path(t.spark, "models")
-    tables.save_model(cancel_models(t).model, folder, "uc3_final")
-    return scoring.predict(_prepared(t, "UC3"), tables.load_model(folder, "uc3_final"), "UC3", thresholds(t))
+def _predicted(t: StoredRideTables, use_case: str) -> DataFrame:
+    """Predictions of all bookings from nothing but the stored set and the joined tables."""
+    found = stored_set(t, use_case)
+    rows = scoring.prepare(wide_of(t), found.categories, found.fitted, found.features)
+    return scoring.predict(rows, found.model, use_case, found.thresholds)
+
+
+def _stored_report(t: StoredRideTables) -> DataFrame:
+    """What the stored sets say of their training."""
+    rows = [(use_case, model, metric, float(value), model == found.settings["chosen"], len(found.features))
+            for use_case in usecases.CLASSIFICATION for found in [stored_set(t, use_case)]
+            for model, values in found.report.items() for metric, value in values.items()]
+    return rows_from(t, rows, "use_case STRING, model STRING, metric STRING, value DOUBLE, chosen BOOLEAN, features INT")
 
 
 def _split_roundtrip(t: StoredRideTables) -> DataFrame:
@@ -448,13 +491,10 @@ def _split_roundtrip(t: StoredRideTables) -> DataFrame:
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
-def _settings_roundtrip(t: StoredRideTables) -> DataFrame:
-    path = tables.scratch_path(t.spark, "settings")
-    stored = tables.load_json(t.spark, path)
-    if stored is None:
-        tables.save_json(t.spark, {"uc3": tuned_settings(t, "UC3")[0]}, path)
-        stored = tables.load_json(t.spark, path)
-    return rows_from(t, [(k, float(v)) for k, v in sorted(stored["uc3"].items())], "setting STRING, value DOUBLE")
+def _stored_settings(t: StoredRideTables) -> DataFrame:
+    rows = [(use_case, k, float(v)) for use_case in usecases.CLASSIFICATION
+            for k, v in sorted(tuned_settings(t, use_case)[0].items())]
+    return rows_from(t, rows, "use_case STRING, setting STRING, value DOUBLE")
 
 
 ENTRIES: dict[str, Build] = {
@@ -503,10 +543,10 @@ ENTRIES: dict[str, Build] = {
     "p3_p4_risk": _risk,
     "p5_p6_predictions_table": _rule_table,
     "p7_prepared_rows": lambda t: _prepared(t, "UC3"),
-    "p8_predict_outcome": lambda t: scoring.predict(_prepared(t, "UC1"), outcome_models(t).model, "UC1"),
+    "p8_predict_outcome": lambda t: _predicted(t, "UC1"),
     "p8_predict_fare": _predicted_fares,
-    "p8_predict_cancel": lambda t: scoring.predict(_prepared(t, "UC3"), cancel_models(t).model, "UC3", thresholds(t)),
-    "p8_predict_delay": lambda t: scoring.predict(_prepared(t, "UC4"), delay_models(t).model, "UC4", thresholds(t)),
+    "p8_predict_cancel": lambda t: _predicted(t, "UC3"),
+    "p8_predict_delay": lambda t: _predicted(t, "UC4"),
     "m3_balanced_weights": _weights,
     "m4_oversampled": _oversampled,
     "m4_train_equalised": _equalised,
@@ -518,6 +558,7 @@ ENTRIES: dict[str, Build] = {
     "m9_retrain": _retrained,
     "m10_finals": _finals,
     "s12_split_store": _split_roundtrip,
-    "s13_model_store": _model_roundtrip,
-    "s14_settings_store": _settings_roundtrip,
+    "s13_model_store": lambda t: _predicted(t, "UC3"),
+    "s13_stored_report": _stored_report,
+    "s14_settings_store": _stored_settings,
 }

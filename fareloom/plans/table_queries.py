@@ -12,7 +12,7 @@ from fareloom.operators import cleaning
 from fareloom.plans.model_queries import rule_predictions
 from fareloom.plans.quality_queries import five_tables
 from fareloom.sources import schemas, tables
-from fareloom.sources.ride_views import RideTables
+from fareloom.sources.ride_views import RideTables, StoredRideTables
 
 
 def _raw_roundtrip(t: RideTables) -> DataFrame:
@@ -70,6 +70,26 @@ def _replace(t: RideTables) -> DataFrame:
     return tables.replace_predictions(t.predictions, path)
 
 
+def _versions(t: RideTables) -> DataFrame:
+    """Two model versions, the second at first with a part of its rows, both written again at the end."""
+    path = f"{tables.scratch_path(t.spark, 'versions')}/predictions"
+    first = t.predictions.withColumn("model_version", F.lit("v1"))
+    second = t.predictions.withColumn("model_version", F.lit("v2"))
+    tables.replace_versions(first, path)
+    tables.replace_versions(second.filter(F.col("cancel_risk_tier") == "High"), path)
+    tables.replace_versions(second.filter(F.col("cancel_risk_tier") != "Low"), path)
+    stored = tables.replace_versions(first, path)
+    return stored.groupBy("model_version", "cancel_risk_tier").agg(F.count(F.lit(1)).alias("count"))
+
+
+def query_cache(t: StoredRideTables) -> tables.QueryCache:
+    return t.kept("query cache", lambda: tables.QueryCache(t.spark))
+
+
+def _cached(t: StoredRideTables) -> DataFrame:
+    return query_cache(t).query("SELECT city, count(*) AS rides FROM {bookings} GROUP BY city", bookings=t.bookings)
+
+
 def _typed_tables(t: RideTables) -> DataFrame:
     """The six empty typed tables in a database of their own, two of them filled."""
     database = f"rides_{uuid.uuid4().hex}"
@@ -109,8 +129,8 @@ ENTRIES: dict[str, Callable[[RideTables], DataFrame]] = {
     "s7_append": _append,
     "s7_append_all": _append_all,
     "s8_replace_predictions": _replace,
+    "s8_versioned_predictions": _versions,
     "s9_row_counts": lambda t: tables.row_counts({**five_tables(t), "predictions": t.predictions}),
     "s10_run_query": _parameterised,
-    "s11_cached_query": lambda t: tables.cached_query(
-        t.spark, "SELECT city, count(*) AS rides FROM {bookings} GROUP BY city", bookings=t.bookings),
+    "s11_cached_query": _cached,
 }

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import tempfile
+import threading
+import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -147,6 +149,36 @@ def replace_predictions(predictions: DataFrame, path: str) -> DataFrame:
     return tier_counts(stored)
 
 
+PREDICTION_KEY = ("booking_id", "model_version")
+
+
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key is null or comes more than once; only a few offending keys reach the driver."""
+    bad = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        .filter((F.col("n") > 1) | reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+        .limit(5).collect()
+    )
+    if bad:
+        raise ValueError(f"{', '.join(keys)} must be unique and not null, but not so: {[tuple(r) for r in bad]}")
+
+
+def replace_versions(predictions: DataFrame, path: str) -> DataFrame:
+    """Replace the stored predictions of every model version that occurs in `predictions`; other versions stay.
+
+    A booking comes once per version, else nothing is written. The rows are staged first and take the place of the old
+    ones when all of them are there: a write that fails leaves the table as it was, a rerun gives the same table. Frames
+    without rows replace nothing. Returns the stored table.
+    """
+    staged = settled(predictions, "staged")
+    require_unique(staged, PREDICTION_KEY)
+    (
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("model_version").parquet(path)
+    )
+    return predictions.sparkSession.read.schema(predictions.schema).parquet(path).select(*predictions.columns)
+
+
 def tier_counts(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("cancel_risk_tier").agg(F.count(F.lit(1)).alias("count"))
 
@@ -164,9 +196,44 @@ def run_query(spark: SparkSession, sql: str, params: Mapping[str, object] | None
     return spark.sql(sql, args=dict(params or {}), **frames)
 
 
-def cached_query(spark: SparkSession, sql: str, params: Mapping[str, object] | None = None, **frames: DataFrame) -> DataFrame:
-    """As `run_query`, kept for repeated use until the caller unpersists it."""
-    return run_query(spark, sql, params, **frames).cache()
+class QueryCache:
+    """Results of SQL texts, kept for `lifetime` seconds per text, parameters and frames.
+
+    Expired results are released at the next call of any query, so that no more is held than was asked for within a
+    lifetime. A result that is still in use by its caller stays correct after its release: Spark computes it again.
+    """
+
+    def __init__(self, spark: SparkSession, lifetime: float = 300.0, clock: Callable[[], float] = time.monotonic) -> None:
+        self.spark, self.lifetime, self._clock = spark, lifetime, clock
+        self._held: dict[tuple, tuple[float, DataFrame, dict[str, DataFrame]]] = {}
+        self._lock = threading.Lock()
+
+    def __len__(self) -> int:
+        return len(self._held)
+
+    def query(self, sql: str, params: Mapping[str, object] | None = None, **frames: DataFrame) -> DataFrame:
+        key = (sql, tuple(sorted((k, repr(v)) for k, v in (params or {}).items())),
+               tuple(sorted((n, f.semanticHash()) for n, f in frames.items())))
+        with self._lock:
+            now = self._clock()
+            self._release([k for k, (since, _, _) in self._held.items() if now - since >= self.lifetime])
+            if key in self._held:
+                _, result, given = self._held[key]
+                if all(given[n].sameSemantics(f) for n, f in frames.items()):
+                    return result
+                self._release([key])  # another frame of the same hash
+            result = run_query(self.spark, sql, params, **frames).cache()
+            self._held[key] = (now, result, frames)
+            return result
+
+    def release(self) -> None:
+        """Drop all results now."""
+        with self._lock:
+            self._release(list(self._held))
+
+    def _release(self, keys: Sequence[tuple]) -> None:
+        for key in keys:
+            self._held.pop(key)[1].unpersist()
 
 
 # Splits and artifacts ----------------------------------------------------------------------------------------------

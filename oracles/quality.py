@@ -211,6 +211,9 @@ SELECT * REPLACE (CAST(substr(booking_id, 3) AS BIGINT) AS booking_id, CAST(cust
 SELECT booking_id, booking_status, coalesce(actual_ride_time_min, 0e0) AS actual_ride_time_min FROM bookings"""),
     "s7_append": over("location_demand", "SELECT demand_level, count(*) AS count FROM location_demand GROUP BY demand_level"),
     "s8_replace_predictions": over("predictions", "SELECT cancel_risk_tier, count(*) AS count FROM predictions GROUP BY ALL"),
+    "s8_versioned_predictions": over("predictions", """
+SELECT 'v1' AS model_version, cancel_risk_tier, count(*) AS count FROM predictions GROUP BY ALL
+UNION ALL SELECT 'v2', cancel_risk_tier, count(*) FROM predictions WHERE cancel_risk_tier <> 'Low' GROUP BY ALL"""),
     "s4_typed_tables": over("predictions location_demand", """
 SELECT 'location_demand' AS table_name, count(*) AS row_count FROM location_demand
 UNION ALL SELECT 'predictions', count(*) FROM predictions UNION ALL SELECT 'bookings', 0 UNION ALL SELECT 'customers', 0

@@ -5,9 +5,12 @@ from __future__ import annotations
 from oracles.reports import HIGH
 from oracles.views import over, pct, rs
 
+SCORED = over("predictions", """
+SELECT booking_id, city, cancel_probability, cancel_risk_tier, recommended_action FROM predictions""")
+
 STATEMENTS = {
-    "t1_stream_scoring": over("predictions", """
-SELECT booking_id, city, cancel_probability, cancel_risk_tier, recommended_action FROM predictions"""),
+    "t1_stream_scoring": SCORED,
+    "t1_stream_scoring_once": SCORED,
     # The last hour windows are still open when the stream stops: their end lies after the watermark.
     "t2_stream_alerts": over("bookings predictions", f"""
 SELECT * FROM (

@@ -201,7 +201,7 @@ def test_csv_and_query(spark):
     assert {tuple(r) for r in tables.read_csv(spark, path, df.schema).collect()} == {(" a ", 1.5), (None, None)}
     got = tables.run_query(spark, "SELECT city FROM {t} WHERE base_fare > :low", {"low": 1}, t=df)
     assert [r[0] for r in got.collect()] == [" a "]
-    kept = tables.cached_query(spark, "SELECT count(*) AS n FROM {t}", t=df)
+    kept = tables.QueryCache(spark).query("SELECT count(*) AS n FROM {t}", t=df)
     assert kept.is_cached and kept.first()["n"] == 2
     kept.unpersist()
     with pytest.raises(Exception):
