@@ -155,6 +155,19 @@ def test_half_a_set_is_no_set(spark, monkeypatch):
     assert rows_of(found.model.transform(df).select("x", "prediction")) == rows_of(model.transform(df).select("x", "prediction"))
 
 
+def test_a_three_class_model_predicts_the_same_once_loaded(spark):
+    df = spark.createDataFrame([(i, float(i % 7), float(i * 5 % 11), float(i % 7 // 3)) for i in range(90)],
+                               "booking_id BIGINT, a DOUBLE, b DOUBLE, label DOUBLE").coalesce(1)
+    sizes = {**models.training.OUTCOME_SIZES, "boost_rounds": 2, "boost_depth": 2}
+    model = models.training.fit(models.training.outcome_classifier(sizes),
+                                models.training.with_class_weights(df, "label"), ["a", "b"])
+    folder = store.scratch_path(spark, "artifacts")
+    artifacts.save_set(spark, folder, "m", artifacts.ArtifactSet(model, ["a", "b"], Fitted("UC1"), {}))
+    found = artifacts.load_set(spark, folder, "m")
+    wanted = rows_of(models.scoring.predict(df, model, "UC1"))
+    assert len(wanted) == 90 and rows_of(models.scoring.predict(df, found.model, "UC1")) == wanted
+
+
 def test_stored_sets_predict_without_training(tables, monkeypatch):
     before = models.ENTRIES["s13_model_store"](tables)
     direct = models.scoring.predict(models._prepared(tables, "UC3"), models.cancel_models(tables).model, "UC3",
