@@ -156,3 +156,17 @@ def test_unknown_ratios_are_zero(spark):
     df = spark.createDataFrame([(0, 0), (0, 0), (1, 0)], "label INT, prediction INT")
     found = evaluation.classification_metrics(df, positive=1).first()
     assert (found["precision"], found["recall"], found["f1"]) == (0.0, 0.0, 0.0)
+
+
+def test_share_does_not_shuffle_the_frame(spark):
+    """A join on the few classes by shuffling would read a whole class in one task."""
+    df = spark.range(500).select(F.col("id").alias("booking_id"), (F.col("id") % 3).alias("kind"), F.lit("x").alias("wide"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marked = splitting.mark_share(df, "booking_id", 0.2, "kind")
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        counts = {r["kind"]: r["n"] for r in marked.filter("chosen").groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert counts == {0: 33, 1: 33, 2: 33} and marked.count() == 500
