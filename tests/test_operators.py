@@ -240,3 +240,23 @@ def test_constant_over_many_partitions(spark):
     assert fitted.fit_scaler(df)["base_fare"][1] == 1.0
     matrix = selection.correlation_matrix(df, ["base_fare", "delay_rate", "y"])
     assert math.isnan(matrix[0][2]) and not math.isnan(matrix[1][2])
+
+
+def test_correlations_of_many_features_are_one_narrow_aggregate(spark):
+    """A wide aggregate of all features is too long for compiled code; nulls and features without values stay as they were."""
+    names = [f"f{i}" for i in range(60)]
+    df = spark.range(40).select(
+        F.sin("id").alias("y"), F.lit(None).cast("double").alias("none"),
+        *[F.when(F.col("id") % 7 != i % 7, F.cos(F.col("id") * (i + 1))).alias(n) for i, n in enumerate(names)])
+    made = selection.target_correlations(df, ["none", *names], "y")
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("stddev_pop") <= 2
+    found = {r["feature"]: r["correlation"] for r in made.collect()}
+    assert len(found) == 61 and found["none"] is None
+    for i in (0, 13, 59):
+        pairs = [(math.cos(k * (i + 1)), math.sin(k)) for k in range(40) if k % 7 != i % 7]
+        mx, my = (sum(p[j] for p in pairs) / len(pairs) for j in (0, 1))
+        cov = sum((x - mx) * (y - my) for x, y in pairs)
+        spread = math.sqrt(sum((x - mx) ** 2 for x, _ in pairs) * sum((y - my) ** 2 for _, y in pairs))
+        assert found[f"f{i}"] == pytest.approx(cov / spread)
+    empty = selection.target_correlations(df.filter("id < 0"), ["f0"], "y").collect()
+    assert [tuple(r) for r in empty] == [("f0", None)]
