@@ -44,11 +44,13 @@ from pyspark.sql import functions as F
 
 from fareloom.llm.components import components
 from fareloom.llm.frames import gathered, python_tasks, runs, stored, text_column
-from fareloom.llm.sketches import SKETCH, estimated, merged_bits, partition_sketch, rows_of_ids
+from fareloom.llm.sketches import SKETCH, among, estimated, id_filter, merged_bits, partition_sketch, rows_of_ids
 from fareloom.llm.words import hash_windows, hash_words, mixed, split_words, text_slices
 
 ATTEMPTS = 3  # partitions of the domain that a set with too many empty signatures tries
-FLUSH = 4_000_000  # signatures that a task combines at once
+FLUSH = 1_000_000  # signatures that a task combines at once
+SLICE = 1 << 20  # bytes of text hashed at once: hashing takes some forty times as much
+GATHERED = 2 << 20  # bytes of text that stand ready for it
 BLOCK = 256  # members of a cluster that one task compares with another such block
 
 
@@ -171,7 +173,7 @@ def hashed_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end, data, offsets in text_slices(batch.column(1)):
+            for start, end, data, offsets in text_slices(batch.column(1), SLICE):
                 features, bounds = shingle_sets(data, offsets, shingle)
                 h1, h2 = set_hashes(features, bounds)
                 yield pa.RecordBatch.from_arrays(
@@ -181,15 +183,17 @@ def hashed_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("doc_id", text_column().alias("text")).mapInArrow(measure, "doc_id long, n_shingles long, h1 long, h2 long")
 
 
-def shared_counters(docs: DataFrame, shingle: int, counters: int) -> np.ndarray:
-    """Bits of a count-min sketch of all features: which counters reached 2."""
+def shared_counters(docs: DataFrame, heads: Broadcast, shingle: int, counters: int) -> np.ndarray:
+    """Bits of a count-min sketch of all features of the documents (doc_id, text) in `heads`: which counters reached 2."""
     python_tasks(docs.sparkSession)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = (shingle_sets(data, offsets, shingle)[0] for batch in gathered(batches) for _, _, data, offsets in text_slices(batch.column(0)))
+        chosen = (among(batch, 0, heads) for batch in batches)
+        features = (shingle_sets(data, offsets, shingle)[0] for batch in gathered(chosen, GATHERED)
+                    for _, _, data, offsets in text_slices(batch.column(1), SLICE))
         yield from partition_sketch(features, counters, 1)
 
-    return merged_bits(docs.select("text").mapInArrow(sketch, SKETCH), counters, 1, 2)
+    return merged_bits(docs.mapInArrow(sketch, SKETCH), counters, 1, 2)
 
 
 def sharing_sets(features: np.ndarray, bounds: np.ndarray, bits: np.ndarray, counters: int, percent: int) -> np.ndarray:
@@ -199,8 +203,9 @@ def sharing_sets(features: np.ndarray, bounds: np.ndarray, bits: np.ndarray, cou
     return np.flatnonzero((size > 0) & (100 * (seen[bounds[1:]] - seen[bounds[:-1]]) >= percent * size))
 
 
-def signature_rows(docs: DataFrame, bits: Broadcast, counters: int, shingle: int, percent: int, slack: int, ratio: int) -> DataFrame:
-    """signature and doc of each row that may link with another; a signature that a task has met before comes with `low`, the least doc it saw.
+def signature_rows(docs: DataFrame, heads: Broadcast, bits: Broadcast, counters: int, shingle: int, percent: int, slack: int,
+                   ratio: int) -> DataFrame:
+    """signature and doc of each row in `heads` that may link with another; a signature that a task has met before comes with `low`, the least doc it saw.
 
     So a signature has, beside rows that already name a partner, at most one row for every FLUSH signatures of a task,
     however many documents share it.
@@ -224,9 +229,9 @@ def signature_rows(docs: DataFrame, bits: Broadcast, counters: int, shingle: int
                 pa.array(values[keep].view(np.int64)), pa.array(docs_of[keep]), pa.array(low[keep], mask=new[keep])], ["signature", "doc", "low"])
 
         size = 0
-        for batch in gathered(batches):
+        for batch in gathered((among(batch, 0, heads) for batch in batches), GATHERED):
             ids = batch.column(0).to_numpy()
-            for start, _, data, offsets in text_slices(batch.column(1)):
+            for start, _, data, offsets in text_slices(batch.column(1), SLICE):
                 features, bounds = shingle_sets(data, offsets, shingle)
                 able = sharing_sets(features, bounds, bits.value, counters, percent)
                 size_of = np.diff(bounds)
@@ -296,7 +301,7 @@ def verified(placed: DataFrame, docs: DataFrame, keys: list[str], shingle: int,
             group = group.combine_chunks()
             found: dict[int, tuple[np.ndarray, bool]] = {}
             nodes, hashes, firsts = (group.column(c).to_pylist() for c in ("node", "h1", "first"))
-            for start, _, data, offsets in text_slices(group.column("text").chunk(0)):
+            for start, _, data, offsets in text_slices(group.column("text").chunk(0), SLICE):
                 features, bounds = shingle_sets(data, offsets, shingle)
                 h1, _ = set_hashes(features, bounds)
                 for i in range(len(bounds) - 1):
@@ -329,10 +334,12 @@ def linked_documents(docs: DataFrame, shingle: int = 3, percent: int = 90, slack
     classes = stored(able.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "partenum-classes")
     folded = able.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "node")
 
-    # one document of each group of copies signs; the filter lets through a few others, which adds rows and no links
-    heads = rows_of_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text")), classes, "node", "doc_id")
-    bits = docs.sparkSession.sparkContext.broadcast(shared_counters(heads, shingle, counters))
-    signed = signature_rows(heads, bits, counters, shingle, percent, slack, ratio)
+    # one document of each group of copies signs; the filter lets through a few others, which adds rows and no links.
+    # It runs in the tasks that read the texts: a Python stage of its own would take another worker on every core.
+    heads = id_filter(classes, "node")
+    texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
+    bits = docs.sparkSession.sparkContext.broadcast(shared_counters(texts, heads, shingle, counters))
+    signed = signature_rows(texts, heads, bits, counters, shingle, percent, slack, ratio)
     least = F.min("doc").over(Window.partitionBy("signature"))
     stars = (
         signed.withColumn("least", least).where("low IS NOT NULL OR doc > least")

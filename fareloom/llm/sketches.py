@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,18 +96,32 @@ def rows_of_ids(rows: DataFrame, ids: DataFrame, id_name: str, row_id: str | Non
 
     `id_name` is the column of `ids`, and of `rows` unless `row_id` names another.
     """
-    def of(column: pa.Array) -> np.ndarray:
-        return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return filtered(rows, id_filter(ids, id_name, counters), row_id or id_name, counters)
 
+
+def _hashes_of_ids(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+
+
+def id_filter(ids: DataFrame, id_name: str, counters: int = 1 << 26) -> Broadcast:
+    """Bits of the ids of a column, for `among` inside a task."""
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from partition_sketch((of(batch.column(0)) for batch in batches), counters, 1)
+        yield from partition_sketch((_hashes_of_ids(batch.column(0)) for batch in batches), counters, 1)
 
     bits = merged_bits(ids.select(F.col(id_name).cast("long")).mapInArrow(sketch, SKETCH), counters, 1, 1)
-    shared = rows.sparkSession.sparkContext.broadcast(bits)
-    place = rows.columns.index(row_id or id_name)
+    return ids.sparkSession.sparkContext.broadcast(bits)
+
+
+def among(batch: pa.RecordBatch, place: int, shared: Broadcast, counters: int = 1 << 26) -> pa.RecordBatch:
+    """The rows of a batch whose id (column `place`, not null) may be among those of the filter."""
+    return batch.filter(pa.array(estimated(_hashes_of_ids(batch.column(place)), shared.value, counters, 1)))
+
+
+def filtered(rows: DataFrame, shared: Broadcast, row_id: str, counters: int = 1 << 26) -> DataFrame:
+    place = rows.columns.index(row_id)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(estimated(of(batch.column(place)), shared.value, counters, 1)))
+            yield among(batch, place, shared, counters)
 
-    return rows.where(F.col(row_id or id_name).isNotNull()).mapInArrow(keep, rows.schema)
+    return rows.where(F.col(row_id).isNotNull()).mapInArrow(keep, rows.schema)

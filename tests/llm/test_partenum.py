@@ -141,3 +141,14 @@ def test_components_of_chains_and_stars(spark):
     got = dict(components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect())
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 140)}, 290: 290, 300: 290}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
+
+
+def test_texts_go_through_one_worker_a_task_in_small_slices(spark, documents):
+    """A filter that is a Python stage of its own would take a second worker on every core."""
+    docs = documents([(i, f"a b c d e f {i}") for i in range(20)])
+    heads = partenum.id_filter(docs.where("doc_id < 10"), "doc_id")
+    bits = spark.sparkContext.broadcast(partenum.shared_counters(docs.select("doc_id", "text"), heads, 3, 1 << 20))
+    signed = partenum.signature_rows(docs.select("doc_id", "text"), heads, bits, 1 << 20, 3, 50, 1, 200)
+    assert signed._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc for r in signed.select("doc").distinct().collect()} == set(range(10))
+    assert partenum.SLICE <= 1 << 20
