@@ -183,3 +183,14 @@ def test_finals_of_every_task(spark, monkeypatch):
     assert {r["use_case"] for r in tried if r["best"]} == {"UC1", "UC3", "UC4"}
     retrained = models.ENTRIES["m9_retrain"](t).collect()
     assert {(r["use_case"], r["model"]) for r in retrained} == {(u, m) for u in ("UC1", "UC3", "UC4") for m in ("tuned", "runner-up")}
+
+
+def test_queries_of_few_columns_store_no_wide_rows(spark, sf_dir):
+    from fareloom.operators import encoding
+    from fareloom.sources.ride_views import StoredRideTables
+
+    t = StoredRideTables(spark, sf_dir)
+    for name in ("z1_cap_experience", "u1_u2_projection", "u3_vehicle_rows"):
+        assert models.ENTRIES[name](t).count() > 0
+    assert "derived" not in t._kept and "engineered" not in t._kept
+    assert models.categories(t) == encoding.fit_categories(models.derived(t))
