@@ -194,3 +194,16 @@ def test_queries_of_few_columns_store_no_wide_rows(spark, sf_dir):
         assert models.ENTRIES[name](t).count() > 0
     assert "derived" not in t._kept and "engineered" not in t._kept
     assert models.categories(t) == encoding.fit_categories(models.derived(t))
+
+
+def test_balanced_weights_do_not_gather_classes(spark):
+    """Two classes: joined by shuffling, all rows would be in two tasks."""
+    rows = spark.range(0, 4_000, 1, 8).selectExpr("id", "CAST(id % 2 AS DOUBLE) AS label")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weighted = training.with_class_weights(rows, "label")
+        held = weighted.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(r["count"] for r in held) == [500] * 8
