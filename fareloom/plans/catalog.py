@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fareloom.plans import (
     analytics, dashboard, feature_queries, model_queries, overview, quality_queries, risk, strategy, stream_queries, table_queries,
 )
+from fareloom.session import compile_in_short_methods
 from fareloom.sources.ride_views import StoredRideTables, stored_ride_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,7 +23,10 @@ Build = Callable[[StoredRideTables], DataFrame]
 
 
 def _over(build: Build) -> Query:
-    return lambda spark, folder: build(stored_ride_tables(spark, folder))
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        compile_in_short_methods(spark)
+        return build(stored_ride_tables(spark, folder))
+    return query
 
 
 REPORTS: dict[str, Build] = {

@@ -170,3 +170,13 @@ def test_share_does_not_shuffle_the_frame(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
     assert counts == {0: 33, 1: 33, 2: 33} and marked.count() == 500
+
+
+def test_narrowing_reads_short_branches_and_uneven_values(spark, monkeypatch):
+    """Every column is found, however many there are; values that buckets of equal width hardly part are cut by rank."""
+    monkeypatch.setattr(quantiles, "KEPT_ROWS", 20)
+    uneven = [1e300, -1e300] + [10.0 ** -(i / 100) for i in range(20_000)]
+    df = spark.createDataFrame([(x,) for x in uneven], "x DOUBLE").repartition(4)
+    assert quantiles.quantile_values(df, ["x"], PROBS)["x"] == pytest.approx(np.quantile(uneven, PROBS), rel=1e-12, abs=0)
+    wide = spark.range(101).select(*[(F.col("id") * i).alias(f"c{i}") for i in range(3 * quantiles.CELL_COLUMNS + 1)])
+    assert quantiles.quantile_values(wide, wide.columns, [0.5]) == {c: [50.0 * i] for i, c in enumerate(wide.columns)}

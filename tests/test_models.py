@@ -207,3 +207,16 @@ def test_balanced_weights_do_not_gather_classes(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert sorted(r["count"] for r in held) == [500] * 8
+
+
+def test_method_limit_is_set_once(spark):
+    from fareloom import session
+
+    old = spark.conf.get(session.METHOD_LIMIT, "65535")
+    try:
+        for given, wanted in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(session.METHOD_LIMIT, given)
+            session.compile_in_short_methods(spark)
+            assert spark.conf.get(session.METHOD_LIMIT) == wanted
+    finally:
+        spark.conf.set(session.METHOD_LIMIT, old)
