@@ -56,6 +56,19 @@ def test_equalise_and_weights(spark):
     assert dict(map(tuple, fixed)) == {0.0: 1.0, 1.0: 3.0, 2.0: 6.0}
 
 
+def test_forests_keep_reached_nodes_and_fit_the_same_trees(spark):
+    df, _ = imbalanced(spark)
+    rows = training.with_class_weights(df, "label").coalesce(2).cache()
+    small = {"forest_trees": 3, "forest_depth": 15, "min_leaf": 1}
+    for made, kinds in ((training.classifiers, training.CLASSIFIER_SIZES), (training.regressors, training.REGRESSOR_SIZES)):
+        forest = made(sizes={**kinds, **small})["Random Forest"]
+        assert forest.getCacheNodeIds()
+        plain = forest.copy({forest.cacheNodeIds: False, forest.maxMemoryInMB: 256})
+        trees = [training.fit(f, rows, ["a", "b"]).stages[-1].toDebugString.split("\n", 1)[1] for f in (forest, plain)]
+        assert trees[0] == trees[1]
+    rows.unpersist()
+
+
 def test_search_draws_and_final_choice():
     first, second = training.random_settings(5), training.random_settings(5)
     assert first == second and len(first) == 5
