@@ -233,3 +233,19 @@ def test_method_limit_is_set_once(spark):
             assert spark.conf.get(session.METHOD_LIMIT) == wanted
     finally:
         spark.conf.set(session.METHOD_LIMIT, old)
+
+
+def test_near_rows_travel_as_lists(spark):
+    """A row per candidate pair was shuffled for each direction; only the copies of a base row are still multiplied."""
+    df, rows = imbalanced(spark, 15)
+    minority = df.filter("label = 2").select("booking_id", "a", "b")
+    near = training._near_rows(minority, "booking_id", ["a", "b"], 5, 4, 42)
+    assert "Generate" not in near._jdf.queryExecution().optimizedPlan().toString()
+    points = {r[0]: r[1:3] for r in rows if r[3] == 2.0}
+    found = {r["booking_id"]: r["others"] for r in near.collect()}
+    assert found.keys() == points.keys()
+    for key, others in found.items():
+        gaps = [(sum((p - q) ** 2 for p, q in zip(points[key], points[o])), o) for o in others]
+        assert len(set(others)) == 5 and key not in others and gaps == sorted(gaps)
+    made = training.oversample(df, "booking_id", ["a", "b"], "label", 2, 120)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
