@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+import time
 from types import SimpleNamespace
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from fareloom.operators import scoring, training, usecases
@@ -249,3 +251,35 @@ def test_near_rows_travel_as_lists(spark):
         assert len(set(others)) == 5 and key not in others and gaps == sorted(gaps)
     made = training.oversample(df, "booking_id", ["a", "b"], "label", 2, 120)
     assert made._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+
+
+def test_a_model_scores_its_test_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return float(x)
+
+    class Model:
+        def transform(self, df):
+            half = F.array(F.lit(0.5), counted("x"))
+            return df.select("label", F.col("x").alias("prediction"), array_to_vector(half).alias("probability"))
+
+    rows = spark.range(0, 200, 1, 4).selectExpr("CAST(id % 2 AS DOUBLE) AS label", "CAST(id % 3 > 0 AS DOUBLE) AS x")
+    found = training.classification_scores(Model(), rows, 2)
+    assert seen.value == 200 and found["rows"] == 200 and 0 < found["auc"] < 1
+
+
+def test_stored_frames_are_built_once_by_several_threads(spark, sf_dir):
+    from fareloom.sources.ride_views import StoredRideTables
+
+    t, built = StoredRideTables(spark, sf_dir), []
+
+    def build():
+        time.sleep(0.2)
+        built.append(1)
+        return len(built)
+
+    found = training.at_once(spark, {str(i): lambda: t.kept("slow", build) for i in range(4)})
+    assert found == {str(i): 1 for i in range(4)} and built == [1]
