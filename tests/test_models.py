@@ -7,12 +7,14 @@ import time
 from types import SimpleNamespace
 
 import pytest
+from pyspark.ml.classification import OneVsRest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from fareloom.operators import scoring, training, usecases
 from fareloom.plans import model_queries as models
 from fareloom.plans import stream_queries as streams
+from fareloom.sources.tables import scratch_path
 from fareloom.streaming import rides
 
 
@@ -79,6 +81,31 @@ def test_search_draws_and_final_choice():
     assert training.choose_final(0.8, None) == "baseline"
 
 
+def test_the_catalog_trains_and_searches_at_the_full_sizes(spark, monkeypatch):
+    """Of 300 boosting rounds 40 were left, of 50, 30 and 30 settings 6, and most of these ran for a quarter of their rounds."""
+    sizes = models.LIBRARY_SIZES
+    boosted = [training.classifiers(2, sizes.classifiers), training.regressors(sizes.regressors)]
+    assert [m["Gradient Boosting"].getMaxIter() for m in boosted] == [300, 300]
+    assert training.classifiers(3, sizes.classifiers)["Gradient Boosting"].getClassifier().getMaxIter() == 300
+    assert training.outcome_classifier(sizes.outcome).getClassifier().getMaxIter() == 300
+    assert sizes.trials == {"UC1": 50, "UC3": 30, "UC4": 30} and sizes.space["maxIter"] == (75, 300)
+
+    t, fitted = FewRows(spark), []
+    monkeypatch.setattr(models, "one_split", lambda t, use_case: t.kept(f"split {use_case}", lambda: t.split(use_case)))
+    monkeypatch.setattr(models, "artifact_folder", lambda t: scratch_path(spark, "artifacts"))
+    monkeypatch.setattr(models, "SIZES", sizes)
+
+    def fit_and_score(estimators, features, score, parallelism):
+        fitted.append([(e.getClassifier() if isinstance(e, OneVsRest) else e).getMaxIter() for e, _ in estimators.values()])
+        return {}, {n: n / 100 for n in estimators}
+
+    monkeypatch.setattr(training, "fit_and_score", fit_and_score)
+    settings = models.ENTRIES["s14_settings_store"](t).collect()
+    drawn = {use_case: [s["maxIter"] for s in training.random_settings(n)] for use_case, n in training.SEARCH_TRIALS.items()}
+    assert fitted == [drawn[use_case] for use_case in usecases.CLASSIFICATION]
+    assert {r["use_case"]: r["value"] for r in settings if r["setting"] == "maxIter"} == {u: d[-1] for u, d in drawn.items()}
+
+
 def test_split_is_sound(tables):
     split = models.one_split(tables, "UC3")
     train, test = split.train, split.test
