@@ -16,10 +16,14 @@ in few features; PartEnum turns the second into equality:
   the next partition, so no link is lost.
 * Ahead of all this, a count-min sketch of all features tells which are in one set only. Of a set that links with another
   one, at least the wanted percentage of features are in that other one; sets with fewer shared features do not sign. The
-  sketch overestimates, so that this loses nothing either.
+  sketch overestimates, so that this loses nothing either. Where there are more features than the sketch can tell apart, they
+  are counted exactly first (`sharing`), and only sets that this leaves go into the sketch.
 
 One document of each group of equal sets signs, and only documents that share a signature go on. Each signature with two or more documents hangs its documents under the
-least one (no pairs within a group), and the components of these edges are clusters. Within a cluster exact set sizes
+least one (no pairs within a group), and the components of these edges are clusters. A line that very many documents have
+makes a signature of its own in some of them and so joins sets without likeness into a cluster that grows with the data. Linked
+sets share a signature under every partition of the domain: clusters of several blocks are therefore signed again under
+further partitions, each cluster for itself, which takes such sets apart. Within a cluster exact set sizes
 decide: every member is first compared with the members of its block, which also holds the cluster's least member.
 Members of a cluster of several blocks that this does not connect to the least member are compared with all blocks, so
 that no link between separate parts is missed. A group of copies is one member.
@@ -42,12 +46,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareloom.llm import sharing
 from fareloom.llm.components import components
 from fareloom.llm.frames import gathered, python_tasks, runs, stored, text_column
 from fareloom.llm.sketches import SKETCH, among, estimated, id_filter, merged_bits, partition_sketch, rows_of_ids
 from fareloom.llm.words import hash_windows, hash_words, mixed, split_words, text_slices
 
 ATTEMPTS = 3  # partitions of the domain that a set with too many empty signatures tries
+TURNS = 4  # times that large clusters are signed again, each time under partitions of their own
 FLUSH = 1_000_000  # signatures that a task combines at once
 SLICE = 1 << 20  # bytes of text hashed at once: hashing takes some forty times as much
 GATHERED = 2 << 20  # bytes of text that stand ready for it
@@ -125,18 +131,18 @@ class Bands:
         return np.concatenate([some, over]), np.concatenate([own[some], own[over] + 1])
 
 
-def signatures(features: np.ndarray, bounds: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """All signatures of many sets, and the set of each."""
+def signatures(features: np.ndarray, bounds: np.ndarray, bands: Bands, turn: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of many sets, and the set of each; every turn (up to TURNS) has other partitions of the domain."""
     which, band = bands.signed(np.diff(bounds))
     first, spare = bands.parts(band)
     out, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     going = np.flatnonzero(first > 0)
-    for attempt in range(ATTEMPTS):
+    for attempt in range(ATTEMPTS * turn, ATTEMPTS * (turn + 1)):
         if not len(going):
             break
         values, pair, empty, begin = _signed_once(features, bounds, which[going], band[going], first[going], bands.slack + 2, attempt)
         short = np.add.reduceat(empty.any(axis=1).astype(np.int64), begin) > spare[going]
-        kept = ~empty | (short[pair][:, None] if attempt == ATTEMPTS - 1 else False)
+        kept = ~empty | (short[pair][:, None] if attempt == ATTEMPTS * (turn + 1) - 1 else False)
         out.append(values[kept])
         owner.append(np.repeat(which[going][pair], kept.sum(axis=1)))
         going = going[short]
@@ -168,7 +174,7 @@ def _signed_once(features: np.ndarray, bounds: np.ndarray, which: np.ndarray, ba
 
 
 def hashed_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles and the set hashes h1 and h2 of each row."""
+    """doc_id, n_shingles, how many of them are `sharing.counted`, and the set hashes h1 and h2 of each row."""
     python_tasks(docs.sparkSession)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,11 +182,25 @@ def hashed_sets(docs: DataFrame, shingle: int) -> DataFrame:
             for start, end, data, offsets in text_slices(batch.column(1), SLICE):
                 features, bounds = shingle_sets(data, offsets, shingle)
                 h1, h2 = set_hashes(features, bounds)
+                n_counted = np.diff(np.append(0, np.cumsum(sharing.counted(features)))[bounds])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, end - start), pa.array(np.diff(bounds)), pa.array(h1), pa.array(h2)],
-                    ["doc_id", "n_shingles", "h1", "h2"])
+                    [batch.column(0).slice(start, end - start), pa.array(np.diff(bounds)), pa.array(n_counted), pa.array(h1), pa.array(h2)],
+                    ["doc_id", "n_shingles", "n_counted", "h1", "h2"])
 
-    return docs.select("doc_id", text_column().alias("text")).mapInArrow(measure, "doc_id long, n_shingles long, h1 long, h2 long")
+    return docs.select("doc_id", text_column().alias("text")).mapInArrow(
+        measure, "doc_id long, n_shingles long, n_counted long, h1 long, h2 long")
+
+
+def sharing_heads(docs: DataFrame, heads: Broadcast, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """node of each class that, by an exact count, may have enough features in other sets to link with one."""
+    def sets_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        for start, _, data, offsets in text_slices(batch.column(1), SLICE):
+            yield *shingle_sets(data, offsets, shingle), start
+
+    entries = classes.agg(F.sum("n_counted")).first()[0] or 0
+    found = sharing.shared_counts(docs, heads, sets_of, sharing.ranges_of(entries))
+    seen = F.col("n_shingles") - F.col("n_counted") + F.coalesce("shared", F.lit(0))
+    return classes.join(found, classes["node"] == found["doc"], "left").where(100 * seen >= percent * F.col("n_shingles")).select("node")
 
 
 def shared_counters(docs: DataFrame, heads: Broadcast, shingle: int, counters: int) -> np.ndarray:
@@ -204,11 +224,11 @@ def sharing_sets(features: np.ndarray, bounds: np.ndarray, bits: np.ndarray, cou
 
 
 def signature_rows(docs: DataFrame, heads: Broadcast, bits: Broadcast, counters: int, shingle: int, percent: int, slack: int,
-                   ratio: int) -> DataFrame:
+                   ratio: int, turn: int = 0) -> DataFrame:
     """signature and doc of each row in `heads` that may link with another; a signature that a task has met before comes with `low`, the least doc it saw.
 
     So a signature has, beside rows that already name a partner, at most one row for every FLUSH signatures of a task,
-    however many documents share it.
+    however many documents share it. Documents with a third column, their cluster, share none across clusters.
     """
     python_tasks(docs.sparkSession)
 
@@ -237,7 +257,11 @@ def signature_rows(docs: DataFrame, heads: Broadcast, bits: Broadcast, counters:
                 size_of = np.diff(bounds)
                 chosen = np.zeros(len(size_of), bool)
                 chosen[able] = True
-                values, owner = signatures(features[np.repeat(chosen, size_of)], np.append(0, np.cumsum(size_of[able])), bands)
+                values, owner = signatures(features[np.repeat(chosen, size_of)], np.append(0, np.cumsum(size_of[able])), bands, turn)
+                if batch.num_columns > 2:
+                    cluster = batch.column(2).to_numpy()[start + able[owner]].view(np.uint64)
+                    with np.errstate(over="ignore"):
+                        values = mixed(values + mixed(cluster, 18), 19)
                 if len(values):
                     held.append((values, ids[start + able[owner]]))
                     size += len(values)
@@ -250,6 +274,47 @@ def signature_rows(docs: DataFrame, heads: Broadcast, bits: Broadcast, counters:
     return docs.mapInArrow(sign, "signature long, doc long, low long")
 
 
+def star_edges(signed: DataFrame) -> DataFrame:
+    """low and doc_id: each document of a signature under the least one, and under those that its task has met."""
+    least = F.min("doc").over(Window.partitionBy("signature"))
+    return (
+        signed.withColumn("least", least).where("low IS NOT NULL OR doc > least")
+        .select(F.coalesce("low", "least").alias("low"), F.col("doc").alias("doc_id")).distinct()
+    )
+
+
+def split_clusters(clusters: DataFrame, texts: DataFrame, bits: Broadcast, counters: int, shingle: int, percent: int, slack: int,
+                   ratio: int, block: int) -> DataFrame:
+    """The clusters, those of more than `block` members taken apart by further partitions of the domain.
+
+    Members that meet no other one any more link with nothing and go. It ends when no such cluster is left, or when a turn
+    leaves more than nine tenths of their members in such clusters.
+    """
+    def large(now: DataFrame) -> DataFrame:
+        over = now.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select("component")
+        return stored(now.join(over, "component").select("node", "component"), "partenum-large")
+
+    inside = large(clusters)
+    count = inside.count()
+    rows = None
+    for turn in range(1, TURNS + 1):
+        if not count:
+            break
+        if rows is None:  # the members of later turns are among these
+            rows = stored(rows_of_ids(texts, inside, "node", "doc_id").join(inside.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"),
+                          "partenum-texts")
+        given = rows.join(inside.select(F.col("node").alias("doc_id"), "component"), "doc_id").select("doc_id", "text", "component")
+        signed = signature_rows(given, id_filter(inside, "node"), bits, counters, shingle, percent, slack, ratio, turn)
+        parts = components(star_edges(signed), "low", "doc_id", "partenum-parts")
+        clusters = stored(clusters.join(inside.select("component").distinct(), "component", "left_anti").select("node", "component")
+                          .unionByName(parts.select("node", "component")), "partenum-split")
+        inside, before = large(clusters), count
+        count = inside.count()
+        if 10 * count > 9 * before:
+            break
+    return clusters
+
+
 class Forest:
     """Union of nodes under their least one."""
 
@@ -331,25 +396,24 @@ def linked_documents(docs: DataFrame, shingle: int = 3, percent: int = 90, slack
     ratio = ratio or max(140, -(-10_000 // percent))
     sets = stored(hashed_sets(docs, shingle), "partenum-sets")
     able = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = stored(able.groupBy("h1", "h2").agg(F.min("doc_id").alias("node")), "partenum-classes")
+    classes = stored(able.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"),
+                                                  F.max("n_counted").alias("n_counted")), "partenum-classes")
     folded = able.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "node")
 
     # one document of each group of copies signs; the filter lets through a few others, which adds rows and no links.
     # It runs in the tasks that read the texts: a Python stage of its own would take another worker on every core.
     heads = id_filter(classes, "node")
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
+    if (classes.agg(F.sum("n_shingles")).first()[0] or 0) > counters // 2:  # the sketch would take most features for shared
+        heads = id_filter(sharing_heads(texts, heads, classes, shingle, percent), "node")
     bits = docs.sparkSession.sparkContext.broadcast(shared_counters(texts, heads, shingle, counters))
-    signed = signature_rows(texts, heads, bits, counters, shingle, percent, slack, ratio)
-    least = F.min("doc").over(Window.partitionBy("signature"))
-    stars = (
-        signed.withColumn("least", least).where("low IS NOT NULL OR doc > least")
-        .select(F.coalesce("low", "least").alias("low"), F.col("doc").alias("doc_id")).distinct()
-    )
+    stars = star_edges(signature_rows(texts, heads, bits, counters, shingle, percent, slack, ratio))
     near = (
         stars.join(folded, "doc_id").select("low", F.col("node").alias("b"))
         .join(folded.select(F.col("doc_id").alias("low"), F.col("node").alias("a")), "low").select("a", "b").where("a <> b")
     )
     clusters = components(near, "a", "b", "partenum-clusters")
+    clusters = split_clusters(clusters, texts, bits, counters, shingle, percent, slack, ratio, block)
 
     sized = clusters.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     member = stored(

@@ -5,9 +5,9 @@ import re
 import numpy as np
 import pytest
 
-from fareloom.llm import partenum
+from fareloom.llm import partenum, sharing
 from fareloom.llm.components import components
-from fareloom.llm.sketches import counter_places
+from fareloom.llm.sketches import counter_places, filtered
 
 
 def partenum_counters(features, counters):
@@ -152,3 +152,73 @@ def test_texts_go_through_one_worker_a_task_in_small_slices(spark, documents):
     assert signed._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert {r.doc for r in signed.select("doc").distinct().collect()} == set(range(10))
     assert partenum.SLICE <= 1 << 20
+
+
+@pytest.mark.parametrize("entries,ranges", [(50, 256), (1_500_000, 512)])
+def test_features_of_several_rows_are_counted_exactly(documents, monkeypatch, entries, ranges):
+    """Met twice in one task or in two, a word of all rows, an id that comes twice, and rows that the filter leaves out."""
+    monkeypatch.setattr(sharing, "ENTRIES", entries)
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(["common", *sorted({f"w{rng.integers(400)}" for _ in range(25)})])) for i in range(60)] + [(7, "twice here"), (7, "twice here")]
+    rows.append((-(1 << 40), "w1 w2 w3"))
+    docs = documents(rows).select("doc_id", "text")
+    heads = partenum.id_filter(docs.where("doc_id < 50"), "doc_id")
+
+    def sets_of(batch):
+        for start, _, data, offsets in partenum.text_slices(batch.column(1), 1 << 20):
+            yield *partenum.shingle_sets(data, offsets, 1), start
+
+    words = [(d, set(t.split())) for d, t in rows if d < 50]
+    hashes = {w: partenum.shingle_sets(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]), 1)[0] for w in set().union(*(w for _, w in words))}
+    half = {w for w, h in hashes.items() if sharing.counted(h)[0]}
+    assert 0.3 < len(half) / len(hashes) < 0.7
+    seen = [w for _, own in words for w in own]
+    wanted = {}
+    for d, own in words:
+        n = sum(w in half and seen.count(w) > 1 for w in own)
+        if n:
+            wanted[d] = wanted.get(d, 0) + n
+    assert dict(map(tuple, sharing.shared_counts(docs, heads, sets_of, ranges).collect())) == wanted
+    assert [sharing.ranges_of(n) for n in (0, 1 << 20, (1 << 28) + 1)] == [256, 256, 512]
+
+
+def families(rng, count):
+    """(id, text) of `count` texts without likeness, each with a near copy."""
+    rows = []
+    for k in range(count):
+        base = [f"w{rng.integers(1 << 30)}" for _ in range(int(rng.integers(30, 90)))]
+        rows += [(10 * k + e, " ".join(edited(rng, base, e))) for e in range(2)]
+    return rows
+
+
+def test_a_full_sketch_does_not_let_every_document_sign(documents, monkeypatch):
+    """Beyond some data most counters of the sketch are full: all documents signed, and most met in one cluster."""
+    few = families(np.random.default_rng(12), 20)
+    unlike = [(1000 + i, " ".join(f"x{j}" for j in range(3500 * i, 3500 * (i + 1)))) for i in range(600)]
+    signing, signed = [], partenum.signature_rows
+
+    def seen(docs, heads, *rest):
+        signing.append(filtered(docs, heads, "doc_id").count())
+        return signed(docs, heads, *rest)
+
+    monkeypatch.setattr(partenum, "signature_rows", seen)
+    found = partenum.linked_documents(documents(few + unlike), shingle=5, percent=80, counters=1 << 20)
+    assert result(found) == sorted([*brute(few, 5, 80), *((i, 3496, i) for i, _ in unlike)], key=str)
+    assert len(signing) == 1 and signing[0] <= 60
+
+
+def test_a_common_line_does_not_make_one_cluster(documents, monkeypatch):
+    """Signatures of nothing but the line joined most families into a cluster whose members were all compared with all."""
+    rng, rows = np.random.default_rng(13), []
+    for k in range(60):
+        base = [*(f"line{i}" for i in range(12)), *(f"w{rng.integers(1 << 30)}" for _ in range(int(rng.integers(12, 40))))]
+        rows += [(10 * k + e, " ".join([*base[:-1], f"end{k}-{e}"])) for e in range(2)]
+    compared, verified = [], partenum.verified
+
+    def seen(placed, *rest):
+        compared.append(placed.count())
+        return verified(placed, *rest)
+
+    monkeypatch.setattr(partenum, "verified", seen)
+    assert result(partenum.linked_documents(documents(rows), shingle=5, percent=80, block=7, counters=1 << 22)) == brute(rows, 5, 80)
+    assert sum(compared) < 4 * len(rows)  # 3,389 before
